@@ -146,7 +146,7 @@ TYPED = """typed AS (
          l_shipdate
   FROM raw)"""
 ORACLE["clean_types"] = with_(RAW, TYPED) + """
-SELECT JOUR, ID_LIEU, SUM(NB_VALD) AS total, COUNT(*) AS n, COUNT(*) FILTER (WHERE NB_VALD IS NULL) AS n_null
+SELECT JOUR, COALESCE(ID_LIEU, -1) AS ID_LIEU, SUM(NB_VALD) AS total, COUNT(*) AS n, COUNT(*) FILTER (WHERE NB_VALD IS NULL) AS n_null
 FROM typed GROUP BY 1, 2"""
 ORACLE["harmonise_union"] = with_(RAW, TYPED) + """
 SELECT CAST(year(l_shipdate) AS VARCHAR) AS ANNEE, CASE WHEN month(l_shipdate) <= 6 THEN 'S1' ELSE 'S2' END AS PERIODE,

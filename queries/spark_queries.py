@@ -92,9 +92,10 @@ def _raw_facts(spark, sf):
 
 @query
 def clean_types(spark, sf):
-    """Text cells parsed; readable and unreadable ids and counts side by side."""
+    """Text cells parsed; unreadable ids are shown as -1, unreadable counts counted."""
     raw = _raw_facts(spark, sf).drop("l_shipdate")
     typed = clean.clean_types(clean.harmonise_columns(raw))
+    typed = typed.withColumn("ID_LIEU", F.coalesce("ID_LIEU", F.lit(-1)))
     return typed.groupBy("JOUR", "ID_LIEU").agg(
         F.sum("NB_VALD").alias("total"),
         F.count(F.lit(1)).alias("n"),
