@@ -12,7 +12,7 @@ from tidepanel.operators import (
     baselines, clean, entities, features, joins, matrix, metrics, panel as panels, sequences, splits, windows,
 )
 from tidepanel.plans import workflows
-from tidepanel.session import scratch_path
+from tidepanel.session import materialize, scratch_path
 from tidepanel.sinks import stores as sink
 from tidepanel.sources import calendar as cal, files, stores as source, weather as sky
 from tidepanel.streaming import ingest
@@ -265,19 +265,22 @@ def common_window_means(spark, sf):
     )
 
 
-def _actions(spark, sf):
-    return entities.detect_actions(i.multi_id_panel(spark, sf), overrides=i.OVERRIDES, cols=COLS)
+def _stored_multi(spark, sf):
+    """Entity resolution reads its panel several times, so it is written once."""
+    return materialize(i.multi_id_panel(spark, sf), "multi")
 
 
 @query
 def entity_actions(spark, sf):
-    return _actions(spark, sf)
+    return entities.detect_actions(_stored_multi(spark, sf), overrides=i.OVERRIDES, cols=COLS)
 
 
 @query
 def merge_actions(spark, sf):
     """Rows moved to their target id; duplicates reduced to a daily maximum."""
-    return rounded(entities.apply_actions(i.multi_id_panel(spark, sf), _actions(spark, sf), COLS))
+    panel = _stored_multi(spark, sf)
+    actions = entities.detect_actions(panel, overrides=i.OVERRIDES, cols=COLS)
+    return rounded(entities.apply_actions(panel, actions, COLS))
 
 
 @query
@@ -296,7 +299,7 @@ def hub_merge(spark, sf):
 def merge_entities(spark, sf):
     return rounded(
         entities.merge_entities(
-            i.multi_id_panel(spark, sf), overrides=i.OVERRIDES, hubs=i.HUBS, hub_id_base=i.HUB_BASE, cols=COLS
+            _stored_multi(spark, sf), overrides=i.OVERRIDES, hubs=i.HUBS, hub_id_base=i.HUB_BASE, cols=COLS
         )
     )
 
@@ -840,11 +843,11 @@ def random_search(spark, sf):
 
 @query
 def feature_store(spark, sf):
-    """Serving rows written by entity bucket and read back for a few entities."""
+    """Serving rows written by entity bucket and read back."""
     lagged = windows.add_lags(i.panel(spark, sf), (1, 7), COLS)
     path = scratch_path(spark, "features")
     sink.save_features(lagged, path, "entity", "day", 8)
-    return source.load_features(spark, path, None, "entity").drop("bucket")
+    return source.load_features(spark, path, None, "entity")
 
 
 @query

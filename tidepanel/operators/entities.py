@@ -134,6 +134,7 @@ def detect_actions(
     overlap_days: int = config.OVERLAP_DAYS,
     duplicate_ratio: float = config.DUPLICATE_RATIO,
     overrides: dict[str, str] = config.ACTION_OVERRIDES,
+    summary: DataFrame | None = None,
     cols: PanelCols = DEFAULT,
 ) -> DataFrame:
     """(id, target, action, group, canonical, overlap) of every id in a multi-id group.
@@ -143,7 +144,8 @@ def detect_actions(
     override named by any key of the group wins; the action `skip` drops it.
     """
     # The panel is read twice: for this summary and for the common-window means.
-    summary = cut_lineage(label_lifetimes(panel, cols))
+    if summary is None:
+        summary = cut_lineage(label_lifetimes(panel, cols))
     grouped = cut_lineage(group_keys(key_id_pairs(summary, cols), cols))
     whole = summary.groupBy(cols.entity).agg(
         F.min("first_day").alias("first_day"), F.max("last_day").alias("last_day")
@@ -245,6 +247,7 @@ def hub_members(panel: DataFrame, hubs: DataFrame, cols: PanelCols = DEFAULT) ->
     """(id, hub_id, hub_name): an id that ever carries a hub label belongs to the hub.
 
     If its labels name several hubs the one defined last wins (lowest hub id).
+    Any table with the id and label columns will do.
     """
     return (
         key_id_pairs(panel, cols)
@@ -282,10 +285,35 @@ def merge_entities(
     hub_id_base: int = config.HUB_ID_BASE,
     cols: PanelCols = DEFAULT,
 ) -> DataFrame:
-    """Resolve multi-id entities, then hubs; (day, entity) is unique afterwards."""
-    actions = detect_actions(panel, overlap_days, duplicate_ratio, overrides, cols)
-    moved = apply_actions(panel, actions, cols)
-    if hubs:
-        table = hub_table(panel.sparkSession, hubs, hub_id_base)
-        moved = apply_hubs(moved, hub_members(moved, table, cols), cols)
-    return sum_by_key(moved, cols)
+    """Resolve multi-id entities, then hubs; (day, entity) is unique afterwards.
+
+    Equals `apply_actions`, `apply_hubs` and `sum_by_key` in turn. A target is
+    either reduced to maxima or summed as a whole, so both happen in one
+    aggregate per (day, target), and hub membership of summed ids is read off
+    the label summary instead of the rows. The panel is read several times:
+    pass a stored table (session.materialize).
+    """
+    summary = cut_lineage(label_lifetimes(panel, cols))
+    actions = cut_lineage(
+        detect_actions(panel, overlap_days, duplicate_ratio, overrides, summary, cols)
+    )
+    moved = _moved(panel, actions, cols)
+    labelled = F.when(F.col(cols.label).isNotNull(), F.col("source_id"))
+    merged = moved.groupBy(cols.day, cols.entity).agg(
+        F.when(F.max("action") == "merge_max", F.max(cols.value))
+        .otherwise(F.sum(cols.value))
+        .alias(cols.value),
+        F.max_by(cols.label, labelled).alias(cols.label),
+        F.max(labelled).alias("source_id"),
+    )
+    if not hubs:
+        return merged.drop("source_id")
+    chosen = actions.select(cols.entity, "target", "action")
+    carried = summary.join(chosen, cols.entity, "left").filter(
+        F.coalesce("action", F.lit("keep")) != "merge_max"
+    )
+    labels = carried.select(F.coalesce("target", cols.entity).alias(cols.entity), cols.label)
+    kept = _daily_maximum(moved, cols).select(cols.entity, cols.label).distinct()
+    table = hub_table(panel.sparkSession, hubs, hub_id_base)
+    members = hub_members(labels.unionByName(kept), table, cols)
+    return sum_by_key(apply_hubs(merged, members, cols), cols)

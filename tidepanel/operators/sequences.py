@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidepanel import config
 from tidepanel.columns import DEFAULT, PanelCols
+from tidepanel.operators.joins import broadcast_if_small
 from tidepanel.operators.splits import day_index
 
 MAX_WIDE_COLUMNS = 5_000
@@ -35,13 +36,12 @@ def wide_log_panel(
     if log:
         wide = wide.withColumns({c: F.log1p(F.col(f"`{c}`")) for c in names})
     covariates = []
-    # One row per distinct date: the DATE type itself bounds these tables.
     if weather is not None:
-        wide = wide.join(F.broadcast(weather), cols.day, "left")
+        wide = wide.join(broadcast_if_small(weather), cols.day, "left")
         covariates += config.WEATHER_COLUMNS
     if calendar is not None:
         flags = [F.col(c).cast("int").alias(c) for c in config.CALENDAR_COLUMNS]
-        wide = wide.join(F.broadcast(calendar.select(cols.day, *flags)), cols.day, "left")
+        wide = wide.join(calendar.select(cols.day, *flags), cols.day, "left")
         covariates += config.CALENDAR_COLUMNS
     if covariates:
         wide = wide.fillna(0, subset=covariates)

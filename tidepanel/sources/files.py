@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidepanel import config
 
@@ -53,104 +52,133 @@ def detect_formats(
     separators: list[str] = config.SEPARATORS,
     strict_decoding: bool = False,
 ) -> DataFrame:
-    """(path, encoding, separator) of each file, NULL where no combination fits.
+    """(path, encoding, separator, header) of each file, NULL where no combination fits.
 
     The first combination whose header holds the required columns wins, with
     encodings tried before separators. Undecodable bytes are replaced and do
-    not reject an encoding, unless `strict_decoding` is set. Only the head of
-    a file is kept in memory.
+    not reject an encoding, unless `strict_decoding` is set. Each file is
+    opened in a task and only its first bytes are read, however long it is; a
+    path may also be a folder of parts that share a format.
     """
     need, encs, seps, strict, size = set(required), encodings, separators, strict_decoding, HEAD_BYTES
 
     def sniff(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import csv
-
-        def decode(head, enc, whole):
+        import re
+
+        from pyarrow import fs
+
+        def head_of(path):
+            where, inner = fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", path))
+            info = where.get_file_info(inner)
+            if info.type == fs.FileType.Directory:
+                parts = where.get_file_info(fs.FileSelector(inner))
+                named = sorted(
+                    p.path for p in parts
+                    if p.size and not p.base_name.startswith(("_", "."))
+                )
+                inner = named[0]
+            with where.open_input_stream(inner) as stream:
+                return stream.read(size)
+
+        def decode(head, enc):
             if not strict:
                 return head.decode(enc, errors="replace")
             # A cut head may end inside a character: leave the last line out.
-            usable = head if whole else head[: head.rfind(b"\n") + 1]
-            return usable.decode(enc)
+            return (head if len(head) < size else head[: head.rfind(b"\n") + 1]).decode(enc)
 
-        def fits(head, whole):
+        def fit(head):
             for enc in encs:
                 try:
-                    text = decode(head, enc, whole)
+                    text = decode(head, enc)
                 except UnicodeError:
                     continue
                 first = text.split("\n", 1)[0].rstrip("\r")
                 for sep in seps:
                     header = next(csv.reader([first], delimiter=sep), [])
                     if need.issubset(header):
-                        return enc, sep
-            return None, None
+                        return enc, sep, header
+            return None, None, None
 
         for batch in batches:
-            found = [fits(bytes(h), len(h) < size) for h in batch["head"]]
+            found = [fit(head_of(p)) for p in batch["path"]]
             yield pd.DataFrame(
                 {
                     "path": batch["path"],
                     "encoding": [f[0] for f in found],
                     "separator": [f[1] for f in found],
+                    "header": [f[2] for f in found],
                 }
             )
 
-    heads = (
-        spark.read.format("binaryFile")
-        .load(paths)
-        .select("path", F.substring("content", 1, size).alias("head"))
+    listed = spark.createDataFrame([(p,) for p in paths], "path string")
+    # One file per task at most: opening files is latency, not data.
+    spread = listed.repartition(max(1, min(len(paths), 1000)), "path")
+    return spread.mapInPandas(
+        sniff, "path string, encoding string, separator string, header array<string>"
     )
-    return heads.mapInPandas(sniff, "path string, encoding string, separator string")
 
 
-def require_formats(formats: DataFrame) -> list[tuple[str, str, str]]:
-    """The detected formats as a list (one entry per file); an unknown one is an error."""
+def require_formats(formats: DataFrame) -> list:
+    """The detected formats as rows (one per file); a file without one is an error."""
     rows = formats.collect()
     unknown = sorted(r["path"] for r in rows if r["encoding"] is None)
     if unknown:
         raise ValueError(f"no valid format for: {unknown}")
-    return [(r["path"], r["encoding"], r["separator"]) for r in rows]
+    return sorted(rows, key=lambda r: r["path"])
 
 
 def read_files(
-    spark: SparkSession, paths: list[str], encoding: str, separator: str, required: list[str]
+    spark: SparkSession,
+    paths: list[str],
+    encoding: str,
+    separator: str,
+    required: list[str] = config.REQUIRED_COLUMNS,
+    header: list[str] | None = None,
 ) -> DataFrame:
     """Text columns of files that share one format and one header.
 
-    Undecodable bytes are replaced, not fatal. UTF-16 cannot be split at line
-    ends, so such files are read whole, one task per file.
+    Undecodable bytes are replaced, not fatal. With a known `header` nothing is
+    inferred. UTF-16 cannot be split at line ends, so such a file is streamed
+    by one task.
     """
     reader = spark.read.option("header", True).option("sep", separator).option(
         "encoding", READER_CHARSET[encoding]
     )
     if encoding == "utf-16":
         reader = reader.option("multiLine", True)
+    if header is not None:
+        reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in header]))
     df = reader.csv(paths)
-    df = df.withColumnsRenamed({c: c.lstrip("﻿") for c in df.columns})
     check_columns(df.columns, required, str(paths))
     return df
 
 
 def load_source(
-    spark: SparkSession,
-    formats: list[tuple[str, str, str]],
-    required: list[str] = config.REQUIRED_COLUMNS,
-    id_columns: list[str] = tuple(config.ID_COLUMN_NAMES),
+    spark: SparkSession, formats: list, required: list[str] = config.REQUIRED_COLUMNS
 ) -> list[DataFrame]:
-    """One frame per file with ANNEE and PERIODE taken from the file's path.
+    """One frame per distinct format and header, with ANNEE and PERIODE from the paths.
 
-    The id column changes name by year, so files are read one header at a
-    time; `concat_facts` unites them under one name.
+    The id column changes name by year, so headers differ; `concat_facts`
+    unites the frames under one name. Thousands of files still make only a
+    handful of scans.
     """
+    alike = {}
+    for row in formats:
+        alike.setdefault((row["encoding"], row["separator"], tuple(row["header"])), []).append(
+            row["path"]
+        )
+    # The file itself or, for a folder of parts, its folder carries the name.
+    pattern = r"(\d{4})-([A-Z]\d+)-[^/]*(?:/[^/]*)?$"
     frames = []
-    pattern = r"(\d{4})-([A-Z]\d)-"
-    for path, encoding, separator in formats:
-        df = read_files(spark, [path], encoding, separator, required)
-        source = F.regexp_extract(F.col("_metadata.file_path"), pattern + r"[^/]*(?:/[^/]*)?$", 1)
-        period = F.regexp_extract(F.col("_metadata.file_path"), pattern + r"[^/]*(?:/[^/]*)?$", 2)
-        frames.append(df.select("*", source.alias("ANNEE"), period.alias("PERIODE")))
+    for (encoding, separator, header), paths in alike.items():
+        df = read_files(spark, paths, encoding, separator, required, list(header))
+        source = F.col("_metadata.file_path")
+        frames.append(
+            df.select(
+                "*",
+                F.regexp_extract(source, pattern, 1).alias("ANNEE"),
+                F.regexp_extract(source, pattern, 2).alias("PERIODE"),
+            )
+        )
     return frames
-
-
-def union_sources(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
