@@ -209,7 +209,7 @@ def event_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).agg(F.count(F.lit(1)).cast("double").alias("value"))
 
 
-def rounded(df: DataFrame, places: int = 6) -> DataFrame:
-    """Doubles rounded for comparison."""
-    doubles = {c for c, t in df.dtypes if t in ("double", "float")}
+def rounded(df: DataFrame, places: int = 6, exact: tuple[str, ...] = ()) -> DataFrame:
+    """Doubles rounded for comparison, but for columns that are exact in any engine."""
+    doubles = {c for c, t in df.dtypes if t in ("double", "float") and c not in exact}
     return df.select(*[F.round(c, places).alias(c) if c in doubles else F.col(c) for c in df.columns])

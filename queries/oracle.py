@@ -378,7 +378,7 @@ ORACLE["warmup_rule"] = with_(
     f"z AS (SELECT *, {roll(i.ROLLS)} FROM y)",
     f"z2 AS (SELECT * FROM z WHERE {complete([f'roll_{w}' for w in i.ROLLS])})",
     f"t AS (SELECT *, {lead(7)} FROM z2)",
-) + f"SELECT entity, day, {rs(['value', 'lag_1', 'lag_7', *[f'roll_{w}' for w in i.ROLLS], *TARGETS])} FROM t WHERE {complete(TARGETS)}"
+) + f"SELECT entity, day, value, lag_1, lag_7, {rs([f'roll_{w}' for w in i.ROLLS])}, {', '.join(TARGETS)} FROM t WHERE {complete(TARGETS)}"
 ORACLE["calendar_spaced"] = with_(PANEL) + """
 SELECT entity, CAST(MAX(day) - MIN(day) + 1 AS BIGINT) AS n_days, COUNT(*) AS n_known, SUM(value) AS total
 FROM panel GROUP BY 1"""
@@ -508,7 +508,7 @@ MATRIX_COLUMNS = (
     + rs(["amplitude", "log_RR"]) + ", " + ", ".join(SKY_FLAGS) + ", "
     + ", ".join(r(f"{c} / nb_vald_moyen", c) for c in LAGC + ROLLC) + ", " + rs(config.PROFILE_COLUMNS) + ", " + r("nb_vald_moyen", "lvl")
 )
-ORACLE["pooled_matrix"] = with_(*MATRIX) + f"SELECT {MATRIX_COLUMNS}, {rs(TARGETS)} FROM full_m WHERE {complete(TARGETS)}"
+ORACLE["pooled_matrix"] = with_(*MATRIX) + f"SELECT {MATRIX_COLUMNS}, {', '.join(TARGETS)} FROM full_m WHERE {complete(TARGETS)}"
 ORACLE["serving_features"] = with_(*MATRIX) + f"SELECT {MATRIX_COLUMNS} FROM full_m WHERE day >= DATE '{i.CUTOFF}'"
 ORACLE["served_points"] = with_(
     PANEL, f"x AS (SELECT *, {lag((1, 7))} FROM panel)",

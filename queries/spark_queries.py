@@ -68,7 +68,8 @@ def calendar_flags(spark, sf):
 @query
 def public_holidays(spark, sf):
     totals = i.facts(spark, sf).groupBy("day").agg(F.sum("quantity").alias("total"))
-    return totals.join(F.broadcast(cal.holiday_table(spark, *i.YEARS, day="day")), "day")
+    flagged = cal.with_public_holidays(totals, cal.holiday_table(spark, *i.YEARS, day="day"), "day")
+    return flagged.filter("IS_FERIE").drop("IS_FERIE")
 
 
 @query
@@ -80,8 +81,7 @@ def school_holidays_range(spark, sf):
 @query
 def bridge_days(spark, sf):
     totals = i.facts(spark, sf).groupBy("day").agg(F.sum("quantity").alias("total"))
-    holidays = F.broadcast(cal.holiday_table(spark, *i.YEARS, day="day"))
-    return cal.with_bridges(totals, holidays, "day")
+    return cal.with_bridges(totals, cal.holiday_table(spark, *i.YEARS, day="day"), "day")
 
 
 def _raw_facts(spark, sf):
@@ -348,7 +348,8 @@ def targets(spark, sf):
 @query
 def warmup_rule(spark, sf):
     """Lags, rolls and targets in one pass; the head loses max lag plus max roll rows."""
-    return rounded(windows.shift_features(i.panel(spark, sf), (1, 7), i.ROLLS, HORIZON, cols=COLS))
+    rows = windows.shift_features(i.panel(spark, sf), (1, 7), i.ROLLS, HORIZON, cols=COLS)
+    return rounded(rows, exact=("value", "lag_1", "lag_7", *matrix.target_names(HORIZON)))
 
 
 @query
@@ -535,7 +536,7 @@ def _pooled(spark, sf, **kw):
 @query
 def pooled_matrix(spark, sf):
     """The flagship: 41 features and 7 absolute targets for all entities."""
-    return rounded(_pooled(spark, sf))
+    return rounded(_pooled(spark, sf), exact=tuple(matrix.target_names(HORIZON)))
 
 
 @query

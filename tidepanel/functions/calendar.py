@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # Fixed values: (month, day) of the eight French public holidays on fixed dates.
 FIXED_HOLIDAYS = [(1, 1), (5, 1), (5, 8), (7, 14), (8, 15), (11, 1), (11, 11), (12, 25)]
@@ -12,28 +12,39 @@ FIXED_HOLIDAYS = [(1, 1), (5, 1), (5, 8), (7, 14), (8, 15), (11, 1), (11, 11), (
 EASTER_OFFSETS = [1, 39, 50]
 
 
-def easter_sunday(year: Column) -> Column:
-    """Gregorian Easter Sunday by the published anonymous (Meeus/Butcher) rule."""
+def with_easter(years: DataFrame, year: str = "year") -> DataFrame:
+    """Adds `easter`, the Gregorian Easter Sunday by the published anonymous
+    (Meeus/Butcher) rule.
+
+    Each quantity is a column of its own, so no expression is repeated.
+    """
 
     def div(x: Column, n: int) -> Column:
         return F.floor(x / F.lit(n)).cast("int")
 
-    golden = year % 19
-    century, in_century = div(year, 100), year % 100
-    skipped, leap_rest = div(century, 4), century % 4
-    moon = div(century - div(century + 8, 25) + 1, 3)
-    epact = (golden * 19 + century - skipped - moon + 15) % 30
-    weekday = (leap_rest * 2 + div(in_century, 4) * 2 - epact - in_century % 4 + 32) % 7
-    late = div(golden + epact * 11 + weekday * 22, 451)
-    march_day = epact + weekday - late * 7 + 114
-    return F.make_date(year, div(march_day, 31), march_day % 31 + 1)
+    y, c = F.col(year), F.col
+    out = years.withColumns({"_golden": y % 19, "_century": div(y, 100), "_short": y % 100})
+    out = out.withColumn("_moon", div(c("_century") - div(c("_century") + 8, 25) + 1, 3))
+    out = out.withColumn(
+        "_epact",
+        (c("_golden") * 19 + c("_century") - div(c("_century"), 4) - c("_moon") + 15) % 30,
+    )
+    out = out.withColumn(
+        "_weekday",
+        ((c("_century") % 4) * 2 + div(c("_short"), 4) * 2 - c("_epact") - c("_short") % 4 + 32) % 7,
+    )
+    out = out.withColumn("_late", div(c("_golden") + c("_epact") * 11 + c("_weekday") * 22, 451))
+    out = out.withColumn("_march", c("_epact") + c("_weekday") - c("_late") * 7 + 114)
+    out = out.withColumn("easter", F.make_date(y, div(c("_march"), 31), c("_march") % 31 + 1))
+    return out.select(*years.columns, "easter")
 
 
-def public_holidays(year: Column) -> Column:
-    """Array of the French national holidays of a year."""
+def public_holidays(years: DataFrame, year: str = "year") -> DataFrame:
+    """Adds `holidays`, the distinct French national holidays of the year."""
     fixed = [F.make_date(year, F.lit(m), F.lit(d)) for m, d in FIXED_HOLIDAYS]
-    easter = easter_sunday(year)
-    return F.array(*fixed, *[F.date_add(easter, n) for n in EASTER_OFFSETS])
+    moving = [F.date_add("easter", n) for n in EASTER_OFFSETS]
+    listed = F.array_distinct(F.array(*fixed, *moving))
+    return with_easter(years, year).withColumn("holidays", listed).drop("easter")
 
 
 def is_weekend(day: Column) -> Column:

@@ -30,11 +30,15 @@ def weather_medians(panel: DataFrame, weather: DataFrame, cols: PanelCols = DEFA
     )
 
 
+def _one_row(stats: DataFrame) -> Column:
+    """The single row of `stats` as a struct, read by one scalar subquery."""
+    return stats.select(F.struct(*stats.columns)).scalar()
+
+
 def fill_weather(df: DataFrame, medians: DataFrame) -> DataFrame:
-    """Missing weather replaced by the medians, read as scalar subqueries."""
-    return df.withColumns(
-        {c: F.coalesce(c, medians.select(c).scalar()) for c in config.WEATHER_COLUMNS}
-    )
+    """Missing weather replaced by the medians."""
+    filled = {c: F.coalesce(c, F.col(f"_m.{c}")) for c in config.WEATHER_COLUMNS}
+    return df.withColumn("_m", _one_row(medians)).withColumns(filled).drop("_m")
 
 
 def weather_parts() -> dict[str, Column]:
@@ -192,11 +196,11 @@ def robust_scale(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     stats = robust_stats(df, present)
 
     def scaled(c):
-        centre = stats.select(f"{c}_centre").scalar()
-        spread = stats.select(f"{c}_scale").scalar()
-        return (F.col(c) - centre) / F.when(spread == 0, 1.0).otherwise(spread)
+        spread = F.col(f"_s.{c}_scale")
+        return (F.col(c) - F.col(f"_s.{c}_centre")) / F.when(spread == 0, 1.0).otherwise(spread)
 
-    return df.withColumns({c: scaled(c) for c in present})
+    out = df.withColumn("_s", _one_row(stats))
+    return out.withColumns({c: scaled(c) for c in present}).drop("_s")
 
 
 def standard_scale(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -207,9 +211,8 @@ def standard_scale(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
     def z(c):
-        spread = stats.select(f"{c}_s").scalar()
-        return (F.col(c) - stats.select(f"{c}_m").scalar()) / F.when(
-            spread == 0, 1.0
-        ).otherwise(spread)
+        spread = F.col(f"_s.{c}_s")
+        return (F.col(c) - F.col(f"_s.{c}_m")) / F.when(spread == 0, 1.0).otherwise(spread)
 
-    return df.withColumns({c: z(c) for c in columns})
+    out = df.withColumn("_s", _one_row(stats))
+    return out.withColumns({c: z(c) for c in columns}).drop("_s")

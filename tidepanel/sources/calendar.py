@@ -19,13 +19,14 @@ def day_spine(spark: SparkSession, first_year: int, last_year: int, day: str = "
 def holiday_table(
     spark: SparkSession, first_year: int, last_year: int, day: str = "JOUR"
 ) -> DataFrame:
-    """Public holidays of the years, one row per distinct day."""
+    """Public holidays of the years, one row per distinct day, about eleven a year."""
     years = spark.range(first_year, last_year + 1).select(F.col("id").cast("int").alias("year"))
-    return years.select(F.explode(cal.public_holidays(F.col("year"))).alias(day)).distinct()
+    return cal.public_holidays(years).select(F.explode("holidays").alias(day))
 
 
 def with_public_holidays(days: DataFrame, holidays: DataFrame, day: str = "JOUR") -> DataFrame:
-    marked = holidays.select(day, F.lit(True).alias("IS_FERIE"))
+    """IS_FERIE by a join with a `holiday_table`, whose size its years bound."""
+    marked = F.broadcast(holidays.select(day, F.lit(True).alias("IS_FERIE")))
     return days.join(marked, day, "left").withColumn(
         "IS_FERIE", F.coalesce("IS_FERIE", F.lit(False))
     )
@@ -51,15 +52,14 @@ def with_school_holidays(
 
 
 def with_bridges(days: DataFrame, holidays: DataFrame, day: str = "JOUR") -> DataFrame:
-    """IS_PONT: a Friday after a holiday Thursday or a Monday before a holiday Tuesday."""
-    thursday, tuesday, friday, monday = 3, 1, 4, 0
-    weekday = F.weekday(day)
-    bridges = holidays.select(
-        F.when(weekday == thursday, F.date_add(day, 1))
-        .when(weekday == tuesday, F.date_sub(day, 1))
-        .alias(day)
-    ).filter(F.col(day).isNotNull() & F.weekday(day).isin(friday, monday))
-    marked = bridges.distinct().withColumn("IS_PONT", F.lit(True))
+    """IS_PONT: a Friday after a holiday Thursday or a Monday before a holiday Tuesday.
+
+    Every holiday names its own bridge day, so this too is an equi join.
+    """
+    tuesday, thursday = F.weekday(day) == 1, F.weekday(day) == 3
+    bridge = F.when(thursday, F.date_add(day, 1)).when(tuesday, F.date_sub(day, 1))
+    bridges = holidays.select(bridge.alias(day)).filter(F.col(day).isNotNull())
+    marked = F.broadcast(bridges.withColumn("IS_PONT", F.lit(True)))
     return days.join(marked, day, "left").withColumn("IS_PONT", F.coalesce("IS_PONT", F.lit(False)))
 
 
@@ -74,15 +74,15 @@ def load_calendar(
     """Day table with IS_WEEKEND, IS_FERIE, IS_VACANCES, IS_PONT.
 
     Its size is fixed by the year range, so joins may broadcast it safely.
-    Holidays of the neighbouring days outside the range are not consulted.
     """
-    days = day_spine(spark, first_year, last_year, day)
-    holidays = holiday_table(spark, first_year, last_year, day)
-    out = days.withColumn("IS_WEEKEND", cal.is_weekend(F.col(day)))
-    out = with_public_holidays(out, F.broadcast(holidays), day)
+    # The year after the last one holds the New Year's Day of a final bridge.
+    holidays = holiday_table(spark, first_year, last_year + 1, day)
+    out = day_spine(spark, first_year, last_year, day).withColumn(
+        "IS_WEEKEND", cal.is_weekend(F.col(day))
+    )
+    out = with_bridges(with_public_holidays(out, holidays, day), holidays, day)
     if school_holidays is None:
         out = out.withColumn("IS_VACANCES", F.lit(False))
     else:
         out = with_school_holidays(out, school_holidays, day, zone)
-    out = with_bridges(out, F.broadcast(holidays), day)
     return out.select(day, *config.CALENDAR_COLUMNS)
