@@ -24,7 +24,7 @@ def write(base, year, period, ext, encoding, sep, id_name, lines):
 
 @pytest.fixture()
 def raw(tmp_path):
-    line = lambda day, label, ident, count: [day, "1", "2", "3", label, ident, "NAVIGO", count]
+    line = lambda day, label, ident, count: [day, "1", "2", "3", label, ident, "PASS", count]
     write(tmp_path, 2015, "S1", "csv", "utf-8-sig", ";", "ID_REFA_LDA",
           [line("2015-01-03", "Châtelet", "71", "2 093"), line("2015-01-03", "Châtelet", "71", "Moins de 5")])
     write(tmp_path, 2016, "S1", "txt", "utf-16", "\t", "lda",
