@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidepanel.columns import PanelCols
 from tidepanel.operators import features
-from tidepanel.operators.joins import broadcast_if_small
+from tidepanel.operators.joins import join_by_day
 from tidepanel.operators.panel import daily_panel
+from tidepanel.session import materialize
 from tidepanel.sources.calendar import load_calendar
 
 COLS = PanelCols(entity="entity", day="day", value="value", label="label")
@@ -125,14 +126,6 @@ def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily_panel(rows, "quantity", COLS).drop("label")
 
 
-def named_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily totals with the supplier's name, joined after the aggregate."""
-    supplier = table(spark, sf_dir, "supplier").select(
-        F.col("s_suppkey").alias("entity"), F.col("s_name").alias("label")
-    )
-    return panel(spark, sf_dir).join(supplier, "entity")
-
-
 def multi_id_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Panel whose ids share, change and inherit labels."""
     base = panel(spark, sf_dir)
@@ -142,9 +135,15 @@ def multi_id_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily weather out of all orders, stored once.
+
+    Medians and joins then read a small file, whose size Spark itself checks
+    before it broadcasts, and the orders are scanned a single time.
+    """
     orders = table(spark, sf_dir, "orders")
     day, *measures = [c.strip() for c in _split(WEATHER_SELECT)]
-    return orders.groupBy(F.expr(day)).agg(*[F.expr(m) for m in measures])
+    daily = orders.groupBy(F.expr(day)).agg(*[F.expr(m) for m in measures])
+    return materialize(daily, "weather")
 
 
 def _split(select: str) -> list[str]:
@@ -182,10 +181,11 @@ def calendar(spark: SparkSession) -> DataFrame:
 
 
 def joined_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tidepanel.operators.joins import join_by_day
+    return with_day_tables(spark, panel(spark, sf_dir), weather(spark, sf_dir))
+
 
-    dim = broadcast_if_small(weather(spark, sf_dir))
-    return join_by_day(panel(spark, sf_dir), dim, F.broadcast(calendar(spark)), day="day")
+def with_day_tables(spark: SparkSession, rows: DataFrame, sky: DataFrame) -> DataFrame:
+    return join_by_day(rows, sky, F.broadcast(calendar(spark)), day="day")
 
 
 def day_table(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -127,7 +127,7 @@ SELECT CAST(y AS INTEGER) AS year, 'M' || lpad(CAST(m AS VARCHAR), 2, '0') AS pe
 ORACLE["weather_daily"] = f"""
 SELECT CAST(o_orderdate AS DATE) AS day, {r('MAX(o_totalprice)', 'RR')}, {r('MIN(o_totalprice)', 'TN')},
   {r('MAX(o_totalprice)', 'TX')}, {r('MIN(o_totalprice)', 'TM')}, {r('COUNT(*)', 'FFM')}
-FROM orders WHERE o_custkey % 2 = 0 AND year(o_orderdate) >= 1996 GROUP BY 1
+FROM orders WHERE o_orderpriority NOT IN ('4-NOT SPECIFIED', '5-LOW') AND year(o_orderdate) >= 1996 GROUP BY 1
 """
 ORACLE["calendar_flags"] = with_(TOTALS, HOLIDAYS, SCHOOL) + f"SELECT day, total, {flags('totals.day')} FROM totals"
 ORACLE["public_holidays"] = with_(TOTALS, HOLIDAYS) + "SELECT day, total FROM totals JOIN holidays USING (day)"
@@ -425,7 +425,7 @@ SELECT fold, CASE WHEN day < v0 THEN 'train' ELSE 'validation' END AS role, MIN(
   COUNT(*) AS n_rows, SUM(value) AS total FROM panel JOIN blocks ON day <= v1 GROUP BY 1, 2"""
 ORACLE["ts_cv"] = with_(
     PANEL, NATIONS,
-    "x AS (SELECT cluster, day, value, row_number() OVER (PARTITION BY cluster ORDER BY day, entity) - 1 AS idx, COUNT(*) OVER (PARTITION BY cluster) AS n FROM panel JOIN nations USING (entity))",
+    "x AS (SELECT cluster, day, value, row_number() OVER (PARTITION BY cluster ORDER BY day, substr(md5(CAST(entity AS VARCHAR)), 1, 2), entity) - 1 AS idx, COUNT(*) OVER (PARTITION BY cluster) AS n FROM panel JOIN nations USING (entity))",
     "b AS (SELECT *, CASE WHEN idx < n - 3 * (n // 4) THEN 0 ELSE (idx - (n - 3 * (n // 4))) // (n // 4) + 1 END AS block FROM x)",
 ) + """
 SELECT cluster, CAST(block AS INTEGER) AS block, COUNT(*) AS n, MIN(day) AS first_day, MAX(day) AS last_day,
@@ -673,6 +673,61 @@ ORACLE["linear_regression"] = with_(
   MAX(n) FILTER (fold = -1) AS n_test, {r('MAX(mae) FILTER (fold = -1)', 'mae', 4)},
   {r('MAX(1 - sse / (v * n)) FILTER (fold = -1)', 'r2', 4)}, {r('MAX(mae / mean * 100) FILTER (fold = -1)', 'mae_pct', 4)} FROM s"""
 
+
+
+def ridge_models(source: str, group: str, alpha: float) -> str:
+    """One standardised feature: the penalty shrinks the slope by n / (n + alpha)."""
+    cols = []
+    for h in (1, 2):
+        slope = f"regr_slope(target_j{h}, lag_7) * COUNT(*) / (COUNT(*) + {alpha}::DOUBLE)"
+        cols.append(f"{slope} AS b{h}, AVG(target_j{h}) - {slope} * AVG(lag_7) AS a{h}")
+    return f"models AS (SELECT {group}, {', '.join(cols)} FROM {source} GROUP BY 1)"
+
+
+def two_metrics(source: str, group: str) -> str:
+    return long_metrics(source, group, (1, 2)) + f""",
+per AS (SELECT {group}, MAX(n) AS n_test, AVG(mae) AS mae, AVG(mae) / NULLIF(AVG(true_mean), 0) * 100 AS mae_pct, AVG(r2) AS r2,
+  MAX(mae_pct) FILTER (h = 1) AS mae_pct_j1, MAX(mae_pct) FILTER (h = 2) AS mae_pct_j2 FROM long GROUP BY 1)"""
+
+
+def cutoffs(source: str, group: str) -> str:
+    return f"""
+cutk AS (SELECT {group} AS g, {CUT} AS k FROM {source} GROUP BY 1),
+cutd AS (SELECT g, day AS cutoff FROM (SELECT g, day, row_number() OVER (PARTITION BY g ORDER BY day) - 1 AS idx
+         FROM (SELECT DISTINCT {group} AS g, day FROM {source})) JOIN cutk USING (g) WHERE idx = k),
+split AS (SELECT s.*, cutoff FROM {source} s JOIN cutd ON cutd.g = s.{group})"""
+
+
+PREDICT = "a1 + b1 * lag_7 AS pred_j1, a2 + b2 * lag_7 AS pred_j2"
+TWO = ["mae", "mae_pct", "r2", "mae_pct_j1", "mae_pct_j2"]
+ORACLE["ridge_holdout"] = with_(
+    *LAGGED, "enough AS (SELECT * FROM lagged QUALIFY COUNT(*) OVER (PARTITION BY entity) >= 50)",
+    cutoffs("enough", "entity"), "train AS (SELECT * FROM split WHERE day < cutoff)", ridge_models("train", "entity", 10),
+    f"scored AS (SELECT split.*, {PREDICT} FROM split JOIN models USING (entity) WHERE day >= cutoff)",
+    two_metrics("scored", "entity"),
+) + f"SELECT entity, n_test, {rs(TWO, 4)} FROM per"
+ORACLE["ridge_by_group"] = with_(
+    *LAGGED, NATIONS, "lc AS (SELECT lagged.*, cluster FROM lagged JOIN nations USING (entity))",
+    "enough AS (SELECT * FROM lc QUALIFY COUNT(*) OVER (PARTITION BY cluster) >= 50)",
+    cutoffs("enough", "cluster"), "train AS (SELECT * FROM split WHERE day < cutoff)", ridge_models("train", "cluster", 10),
+    f"scored AS (SELECT lc.*, {PREDICT} FROM lc JOIN models USING (cluster))", two_metrics("scored", "cluster"),
+    "last AS (SELECT cluster, day AS last_day, pred_j2 AS last_prediction FROM scored "
+    "QUALIFY row_number() OVER (PARTITION BY cluster ORDER BY day DESC, entity DESC) = 1)",
+) + f"SELECT cluster, n_test, {rs(TWO, 4)}, last_day, {r('last_prediction', 'last_prediction', 4)} FROM per JOIN last USING (cluster)"
+ORACLE["ridge_search_one_feature"] = with_(
+    *LAGGED, cutoffs("lagged", "entity"),
+    "tr AS (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY day) - 1 AS idx, COUNT(*) OVER (PARTITION BY entity) AS n FROM split WHERE day < cutoff)",
+    "bl AS (SELECT *, CASE WHEN idx < n - 3 * (n // 4) THEN 0 ELSE (idx - (n - 3 * (n // 4))) // (n // 4) + 1 END AS block FROM tr)",
+    "alphas(alpha) AS (VALUES (1.0::DOUBLE), (100.0::DOUBLE), (10000.0::DOUBLE))",
+    """fits AS (SELECT entity, k, alpha, COUNT(*) / (COUNT(*) + alpha) AS shrink, AVG(lag_7) AS mx,
+         regr_slope(target_j1, lag_7) AS s1, regr_slope(target_j2, lag_7) AS s2, AVG(target_j1) AS m1, AVG(target_j2) AS m2
+       FROM bl, generate_series(1, 3) t(k), alphas WHERE block < k GROUP BY 1, 2, 3)""",
+    """folds AS (SELECT bl.entity, k, alpha, AVG((abs(target_j1 - m1 - s1 * shrink * (lag_7 - mx)) + abs(target_j2 - m2 - s2 * shrink * (lag_7 - mx))) / 2) AS s
+        FROM bl JOIN fits ON fits.entity = bl.entity AND fits.k = bl.block GROUP BY 1, 2, 3)""",
+    "mean AS (SELECT entity, alpha, AVG(s) AS score FROM folds GROUP BY 1, 2)",
+) + f"""SELECT entity, 'alpha' AS name, alpha AS value, {r('score', 'score', 4)} FROM mean
+QUALIFY row_number() OVER (PARTITION BY entity ORDER BY score, alpha) = 1"""
+
 # ---------------------------------------------------------------- streams
 
 ORACLE["stream_ingest"] = f"""

@@ -44,8 +44,9 @@ def file_audit_missing(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def weather_daily(spark, sf):
     """Two raw weather frames united, one station and the useful years kept."""
+    other = F.col("o_orderpriority").isin("4-NOT SPECIFIED", "5-LOW")
     raw = i.table(spark, sf, "orders").select(
-        (F.lit(i.WEATHER_STATION) + F.col("o_custkey") % 2).alias("NUM_POSTE"),
+        (F.lit(i.WEATHER_STATION) + F.when(other, 1).otherwise(0)).alias("NUM_POSTE"),
         F.date_format("o_orderdate", "yyyyMMdd").alias("AAAAMMJJ"),
         F.col("o_totalprice").alias("price"),
     ).groupBy("NUM_POSTE", "AAAAMMJJ").agg(
@@ -320,9 +321,9 @@ def levels_before_cutoff(spark, sf):
 @query
 def median_fill(spark, sf):
     """Weather medians over the joined rows, and the filled values of every panel day."""
-    joined = i.joined_panel(spark, sf)
-    medians = features.weather_medians(i.panel(spark, sf), i.weather(spark, sf), COLS)
-    filled = features.fill_weather(joined, medians)
+    rows, sky_days = i.panel(spark, sf), i.weather(spark, sf)
+    medians = features.weather_medians(rows, sky_days, COLS)
+    filled = features.fill_weather(i.with_day_tables(spark, rows, sky_days), medians)
     return rounded(
         filled.groupBy("day").agg(*[F.max(c).alias(c) for c in config.WEATHER_COLUMNS])
     )
@@ -447,8 +448,9 @@ def time_features(spark, sf):
 @query
 def weather_features(spark, sf):
     """Derived weather of every panel day."""
-    medians = features.weather_medians(i.panel(spark, sf), i.weather(spark, sf), COLS)
-    full = features.add_weather_features(i.joined_panel(spark, sf), medians)
+    rows, sky_days = i.panel(spark, sf), i.weather(spark, sf)
+    medians = features.weather_medians(rows, sky_days, COLS)
+    full = features.add_weather_features(i.with_day_tables(spark, rows, sky_days), medians)
     names = config.WEATHER_COLUMNS + config.DERIVED_WEATHER_COLUMNS
     return rounded(full.groupBy("day").agg(*[F.max(c).alias(c) for c in names]))
 
@@ -759,6 +761,28 @@ def linear_regression(spark, sf):
     return rounded(linear.linear_regression(_lagged(spark, sf), key, ["lag_7"], "target_j1"), 4)
 
 
+@query
+def ridge_holdout(spark, sf):
+    """One-feature ridge per entity, trained before its cutoff and measured after it."""
+    return rounded(workflows.train_per_group(_lagged(spark, sf), "entity", ["lag_7"], 2, 10.0, cols=COLS)[1], 4)
+
+
+@query
+def ridge_by_group(spark, sf):
+    """One-feature ridge per nation: errors over all rows and the last forecast."""
+    rows = _lagged(spark, sf).join(i.clusters(spark, sf), "entity")
+    fitted, _ = workflows.train_per_group(rows, "cluster", ["lag_7"], 2, 10.0, cols=COLS)
+    return rounded(workflows.score_group(rows, fitted, "cluster", ["lag_7"], 2, COLS), 4)
+
+
+@query
+def ridge_search_one_feature(spark, sf):
+    """Best of three penalties per entity by time-ordered cross-validation."""
+    return rounded(
+        workflows.search_per_group(_lagged(spark, sf), "entity", ["lag_7"], 2, [1.0, 100.0, 10000.0], cols=COLS), 4
+    )
+
+
 @query
 def per_entity_ridge(spark, sf):
     """Multi-output ridge per entity on calendar and lag features, held-out errors."""

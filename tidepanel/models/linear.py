@@ -24,10 +24,14 @@ def group_moments(
 ) -> DataFrame:
     """(keys..., moments): flattened Z'Z of Z = [1, features, targets] per group.
 
-    Each task keeps at most FLUSH_GROUPS partial matrices; `Summarizer` adds
-    the partials with map-side combination.
+    Rows are sorted by group inside their partition (no shuffle; a no-op after a
+    window over the group), so a task emits each of its groups about once and
+    keeps at most FLUSH_GROUPS partial matrices. `Summarizer` adds the partials
+    with map-side combination.
     """
-    narrow = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in features + targets])
+    narrow = df.select(
+        *keys, *[F.col(c).cast("double").alias(c) for c in features + targets]
+    ).sortWithinPartitions(*keys)
     key_fields = [f for f in narrow.schema.fields if f.name in keys]
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in key_fields)
     numeric, key_names, limit = features + targets, [f.name for f in key_fields], FLUSH_GROUPS

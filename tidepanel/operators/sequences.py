@@ -104,20 +104,24 @@ def entity_windows(
     sample number inside each row, so nothing is joined.
     """
     choices = (F.col("n") - F.lit(past + future) + 1).cast("bigint")
-    exploded = series.filter(choices >= 1).select(
-        cols.entity,
-        "series",
-        "n",
-        F.explode(F.sequence(F.lit(0), F.lit(n_samples - 1))).alias("sample"),
-    )
-    started = exploded.withColumn("start", seeded_start(F.col("sample"), seed, choices))
-    return started.select(
-        cols.entity,
-        "sample",
-        "start",
-        F.slice("series", F.col("start") + 1, F.lit(past)).alias("past"),
-        F.slice("series", F.col("start") + past + 1, F.lit(future)).alias("y"),
-    )
+
+    def cut(sample):
+        start = seeded_start(sample, seed, choices)
+        return F.struct(sample.alias("sample"), start.alias("start"))
+
+    def slices(w):
+        return F.struct(
+            w["sample"].alias("sample"),
+            w["start"].alias("start"),
+            F.slice("series", w["start"] + 1, F.lit(past)).alias("past"),
+            F.slice("series", w["start"] + past + 1, F.lit(future)).alias("y"),
+        )
+
+    # The cuts are made before the rows multiply, so the whole series is not
+    # copied once per sample.
+    numbers = F.sequence(F.lit(0), F.lit(n_samples - 1))
+    windows = F.transform(F.transform(numbers, cut), slices)
+    return series.filter(choices >= 1).select(cols.entity, F.inline(windows))
 
 
 def sequence_samples(

@@ -162,28 +162,37 @@ def assign_folds(df: DataFrame, folds: DataFrame, day: str = "JOUR") -> DataFram
     )
 
 
+def spread_key(column: str) -> Column:
+    """Two hex digits of a digest: 256 even shares of any key column."""
+    return F.substring(F.md5(F.col(column).cast("string")), 1, 2)
+
+
 def ordered_index(
     df: DataFrame, group: str, day: str, tie: str, name: str = "idx"
 ) -> DataFrame:
-    """0-based position of each row in its group's (day, tie) order, and the group's `n`.
+    """0-based position of each row in its group's day order, and the group's `n`.
 
-    Days are counted first and turned into offsets, then rows are numbered
-    within (group, day): a group with a third of all rows is spread over its days.
+    Rows of one day are ordered by (share, tie), where the share is a digest of
+    the tie. Rows are counted per (group, day, share) and the counts turned
+    into offsets; numbering then happens inside a share, so neither a group nor
+    a day with a third of all rows lands in one task.
     """
-    per_day = df.groupBy(group, day).agg(F.count(F.lit(1)).alias("_c"))
-    upto = Window.partitionBy(group).orderBy(day)
-    offsets = per_day.select(
+    shared = df.withColumn("_s", spread_key(tie))
+    per_share = shared.groupBy(group, day, "_s").agg(F.count(F.lit(1)).alias("_c"))
+    upto = Window.partitionBy(group).orderBy(day, "_s")
+    offsets = per_share.select(
         group,
         day,
+        "_s",
         (F.sum("_c").over(upto) - F.col("_c")).alias("_before"),
         F.sum("_c").over(Window.partitionBy(group)).alias("n"),
     )
-    within = F.row_number().over(Window.partitionBy(group, day).orderBy(tie))
+    within = F.row_number().over(Window.partitionBy(group, day, "_s").orderBy(tie))
     return (
-        df.withColumn("_k", within)
-        .join(offsets, [group, day])
+        shared.withColumn("_k", within)
+        .join(offsets, [group, day, "_s"])
         .withColumn(name, F.col("_before") + F.col("_k") - 1)
-        .drop("_before", "_k")
+        .drop("_before", "_k", "_s")
     )
 
 
