@@ -506,7 +506,8 @@ MATRIX = [
 MATRIX_COLUMNS = (
     f"entity, day, {rs(SKY)}, " + ", ".join(f"CAST({c} AS INTEGER) AS {c}" for c in FLAGS.split(", ")) + f", {TIME_OUT}, "
     + rs(["amplitude", "log_RR"]) + ", " + ", ".join(SKY_FLAGS) + ", "
-    + ", ".join(r(f"{c} / nb_vald_moyen", c) for c in LAGC + ROLLC) + ", " + rs(config.PROFILE_COLUMNS) + ", " + r("nb_vald_moyen", "lvl")
+    + ", ".join(f"{c} / nb_vald_moyen AS {c}" for c in LAGC + ROLLC) + ", " + rs(["log_vald", "cv"])
+    + ", ratio_we_sem, ratio_vac_horsvac, creux_estival, nb_vald_moyen AS lvl"
 )
 ORACLE["pooled_matrix"] = with_(*MATRIX) + f"SELECT {MATRIX_COLUMNS}, {', '.join(TARGETS)} FROM full_m WHERE {complete(TARGETS)}"
 ORACLE["serving_features"] = with_(*MATRIX) + f"SELECT {MATRIX_COLUMNS} FROM full_m WHERE day >= DATE '{i.CUTOFF}'"
