@@ -715,7 +715,7 @@ ORACLE["ridge_by_group"] = with_(
     "last AS (SELECT cluster, day AS last_day, pred_j2 AS last_prediction FROM scored "
     "QUALIFY row_number() OVER (PARTITION BY cluster ORDER BY day DESC, entity DESC) = 1)",
 ) + f"SELECT cluster, n_test, {rs(TWO, 4)}, last_day, {r('last_prediction', 'last_prediction', 4)} FROM per JOIN last USING (cluster)"
-ORACLE["ridge_search_one_feature"] = with_(
+SEARCH = [
     *LAGGED, cutoffs("lagged", "entity"),
     "tr AS (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY day) - 1 AS idx, COUNT(*) OVER (PARTITION BY entity) AS n FROM split WHERE day < cutoff)",
     "bl AS (SELECT *, CASE WHEN idx < n - 3 * (n // 4) THEN 0 ELSE (idx - (n - 3 * (n // 4))) // (n // 4) + 1 END AS block FROM tr)",
@@ -726,8 +726,11 @@ ORACLE["ridge_search_one_feature"] = with_(
     """folds AS (SELECT bl.entity, k, alpha, AVG((abs(target_j1 - m1 - s1 * shrink * (lag_7 - mx)) + abs(target_j2 - m2 - s2 * shrink * (lag_7 - mx))) / 2) AS s
         FROM bl JOIN fits ON fits.entity = bl.entity AND fits.k = bl.block GROUP BY 1, 2, 3)""",
     "mean AS (SELECT entity, alpha, AVG(s) AS score FROM folds GROUP BY 1, 2)",
-) + f"""SELECT entity, 'alpha' AS name, alpha AS value, {r('score', 'score', 4)} FROM mean
-QUALIFY row_number() OVER (PARTITION BY entity ORDER BY score, alpha) = 1"""
+    "chosen AS (SELECT * FROM mean QUALIFY row_number() OVER (PARTITION BY entity ORDER BY score, alpha) = 1)",
+]
+ORACLE["ridge_search_one_feature"] = with_(*SEARCH) + \
+    f"SELECT entity, 'alpha' AS name, alpha AS value, {r('score', 'score', 4)} FROM chosen"
+ORACLE["consensus_search"] = with_(*SEARCH) + f"SELECT 'alpha' AS name, {even('median(alpha)', 4)} AS value FROM chosen"
 
 # ---------------------------------------------------------------- streams
 

@@ -790,6 +790,13 @@ def ridge_search_one_feature(spark, sf):
     )
 
 
+@query
+def consensus_search(spark, sf):
+    """Median over entities of the best penalty each one found."""
+    found = workflows.search_per_group(_lagged(spark, sf), "entity", ["lag_7"], 2, [1.0, 100.0, 10000.0], cols=COLS)
+    return metrics.consensus_params(found.select("entity", "name", "value"), config.WHOLE_NUMBER_PARAMS)
+
+
 @query
 def per_entity_ridge(spark, sf):
     """Multi-output ridge per entity on calendar and lag features, held-out errors."""
@@ -859,6 +866,16 @@ def holdout_eval(spark, sf):
     return workflows.evaluate_per_entity(bundle, rows, names, i.CUTOFF, COLS)
 
 
+@query
+def pooled_eval(spark, sf):
+    """Pooled model fitted before the cutoff and measured after it, against the naive forecast."""
+    rows = matrix.pooled_matrix(
+        i.panel(spark, sf), i.day_table(spark, sf), i.CUTOFF, 1, (1, 7), (7,), exclude_window=i.EXCLUDED, cols=COLS
+    )
+    scored = pooled.evaluate_pooled(rows, MODEL_FEATURES, SMALL_TREES, 1, i.CUTOFF, cols=COLS)
+    return workflows.evaluate_against_baseline(scored, i.panel(spark, sf), 1, (1, 7), (7,), COLS)
+
+
 @query
 def random_search(spark, sf):
     """Walk-forward scores of random pooled configurations."""

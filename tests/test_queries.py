@@ -7,7 +7,7 @@ from compare import canonical, duck
 
 QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
 # Model fits are exercised once, in test_models.
-MODELS = {"gbt_forecast", "holdout_eval", "random_search", "kmeans_clusters"}
+MODELS = {"gbt_forecast", "holdout_eval", "random_search", "kmeans_clusters", "pooled_eval"}
 
 
 def test_every_twin_has_a_query():
