@@ -180,3 +180,15 @@ def test_weather_keeps_one_station(spark):
     assert len(got) == 1 and got[0]["RR"] == 1.0 and str(got[0]["JOUR"]) == "2015-01-02"
 
 
+
+
+def test_ranked_report_is_ordered_with_unknown_last(spark, tmp_path):
+    report = spark.createDataFrame([(1, None), (2, 9.0), (3, 4.0), (4, 4.0)], "station_id int, mae_pct double")
+    path = sink.save_ranked(report, str(tmp_path / "ranked"))
+    back = source.load_results(spark, path, "station_id int, mae_pct double")
+    assert sorted((r["mae_pct"] is None, r["mae_pct"] or 0, r["station_id"]) for r in back.collect()) == [
+        (False, 4.0, 3), (False, 4.0, 4), (False, 9.0, 2), (True, 0, 1)
+    ]
+    parts = sorted(p for p in (tmp_path / "ranked").iterdir() if p.name.startswith("part-"))
+    rows = [line for p in parts for line in p.read_text().splitlines() if not line.startswith("station_id")]
+    assert [int(line.split(",")[0]) for line in rows] == [3, 4, 2, 1]
