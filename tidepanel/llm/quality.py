@@ -82,9 +82,9 @@ def fit_nnpu(
     share = max(1, round(batch * len(positive) / (len(positive) + len(unlabelled))))
     p_order, u_order = rng.permutation(len(positive)), rng.permutation(len(unlabelled))
     for step in range(1, steps + 1):
-        p = positive[np.take(p_order, range(step * share, (step + 1) * share), mode="wrap")]
+        p = positive[p_order[np.arange(step * share, (step + 1) * share) % len(positive)]]
         rest_of = max(1, batch - share)
-        u = unlabelled[np.take(u_order, range(step * rest_of, (step + 1) * rest_of), mode="wrap")]
+        u = unlabelled[u_order[np.arange(step * rest_of, (step + 1) * rest_of) % len(unlabelled)]]
         sp, su = sigmoid(p @ theta[:-1] + theta[-1]), sigmoid(u @ theta[:-1] + theta[-1])
         # Logistic losses: -log s of a positive call, -log(1 - s) of a negative one.
         negative = -np.log1p(-su + 1e-9).mean() + prior * np.log1p(-sp + 1e-9).mean()
