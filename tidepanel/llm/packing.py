@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from tidepanel.llm.common import free_name, ship_package, text_or_empty
-from tidepanel.llm.vocabularies import id_bytes, library_encoder
+from tidepanel.llm.vocabularies import WIDE_MEMOS, id_bytes, library_encoder
 from tidepanel.session import materialize, scratch_path
 
 PIECE = "doc_id: bigint, piece: int, start: bigint, length: bigint, ids_crc32: bigint"
@@ -45,7 +45,7 @@ def cut_pieces(
     ship_package(documents.sparkSession)
     @F.arrow_udf("array<struct<piece: int, start: bigint, length: bigint, ids_crc32: bigint>>")
     def pieces(texts: pa.Array) -> pa.Array:
-        encode, end = library_encoder(tokenizer, pattern).encode, id_bytes([end_id])
+        encode, end = library_encoder(tokenizer, pattern, **WIDE_MEMOS).encode, id_bytes([end_id])
         rows = []
         for text in texts:
             data = memoryview(encode(text.as_py()) + end)

@@ -66,7 +66,8 @@ class MemoEncoder:
         self._words = _Memo(self._word, word_room)
 
     def _pieces(self, text: str) -> list[str]:
-        return LATIN_SPLIT.findall(text) if LATIN_ONLY.fullmatch(text) else self._split(text)
+        plain = (text.isascii() and text.isprintable()) or LATIN_ONLY.fullmatch(text)
+        return LATIN_SPLIT.findall(text) if plain else self._split(text)
 
     def _whole(self, text: str) -> bytes:
         return b"".join(map(self._pretokens.__getitem__, self._pieces(text)))

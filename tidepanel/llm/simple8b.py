@@ -34,7 +34,12 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     end = np.minimum((at // BLOCK + 1) * BLOCK, n).astype(np.int32)
     bits = _bit_lengths(values)
     chosen = np.full(n, ESCAPE, np.int8)
-    for s in range(ESCAPE - 1, -1, -1):
+    widest = int(bits.max())
+    enough = int(np.searchsorted(WIDTHS, widest))  # selectors beyond are never the densest
+    for s in range(min(ESCAPE - 1, enough), -1, -1):
+        if WIDTHS[s] >= widest and WIDTHS[s]:
+            chosen[:] = s
+            continue
         # Place of the next value that is too wide, or the end of the block.
         wide = np.where(bits > WIDTHS[s], at, np.int32(n))
         until = np.minimum(np.minimum.accumulate(wide[::-1])[::-1], end)

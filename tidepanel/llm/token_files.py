@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tidepanel.llm import simple8b
 from tidepanel.llm.common import free_name, ship_package, text_or_empty
-from tidepanel.llm.vocabularies import id_bytes, library_encoder
+from tidepanel.llm.vocabularies import WIDE_MEMOS, id_bytes, library_encoder
 
 MAGIC = b"S8B1"
 #: A segment ends with the document that brings it to so many ids.
@@ -89,7 +89,7 @@ def encode_segments(
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        encode = library_encoder(tokenizer, pattern).encode
+        encode = library_encoder(tokenizer, pattern, **WIDE_MEMOS).encode
         schema = pa.schema(
             [("part", pa.int32()), ("segment", pa.int64()), ("start", pa.int64()), ("n_docs", pa.int64()),
              ("n_ids", pa.int64()), ("payload", pa.binary())]

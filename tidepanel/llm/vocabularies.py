@@ -12,6 +12,10 @@ from tokenizers import Tokenizer, pre_tokenizers
 from tidepanel.llm.pretokens import MemoEncoder
 
 
+#: Room of the memos in tasks that do little else than encode.
+WIDE_MEMOS = {"room": 500_000, "word_room": 400_000}
+
+
 def id_bytes(ids) -> bytes:
     """Little-endian unsigned 32-bit integers."""
     out = array.array("I", ids)
@@ -32,9 +36,11 @@ def byte_letters() -> list[str]:
 
 
 @lru_cache(maxsize=2)
-def library_encoder(path: str, pattern: str) -> MemoEncoder:
+def library_encoder(path: str, pattern: str, room: int = 250_000, word_room: int = 150_000) -> MemoEncoder:
     """Encoder by the tokenizers library; special strings are ordinary text.
 
+    `room` and `word_room` bound its memos; about 200 bytes an entry.
+
     The library splits at white space and letters itself; its own splitting
     is left out here only for pre-tokens that it would not split further.
     """
@@ -49,7 +55,10 @@ def library_encoder(path: str, pattern: str) -> MemoEncoder:
     to_letters = str.maketrans({chr(b): letters[b] for b in range(256)})
 
     def encode(pretoken: str) -> bytes:
-        spelt = pretoken.encode("utf-8").decode("latin-1").translate(to_letters)
+        if pretoken.isascii() and pretoken.isprintable():
+            spelt = pretoken.replace(" ", letters[0x20])
+        else:
+            spelt = pretoken.encode("utf-8").decode("latin-1").translate(to_letters)
         return id_bytes([t.id for t in model.tokenize(spelt)])
 
-    return MemoEncoder(encode, regex.compile(pattern).findall)
+    return MemoEncoder(encode, regex.compile(pattern).findall, room, word_room)
