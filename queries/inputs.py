@@ -32,6 +32,8 @@ HUBS = {
     "HUB_SOUTH": ["quai 000000003", "quai 000000006", "gare 000000008"],
 }
 HUB_BASE = -1000
+# Entities of the feature lookup; the last is not there.
+LOOKED_UP = (1, 2, 5, 7, -4)
 
 # School holidays: (month, day, length in days) of the closed intervals of a year.
 SCHOOL_BREAKS = {"C": [(2, 10, 15), (7, 5, 57), (12, 20, 14)], "A": [(3, 1, 20)]}

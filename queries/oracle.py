@@ -516,6 +516,7 @@ ORACLE["served_points"] = with_(
     f"s AS (SELECT * FROM x WHERE lag_7 IS NOT NULL AND day >= DATE '{i.CUTOFF}')",
 ) + "SELECT p.entity, p.day, s.lag_1, s.lag_7 FROM panel p LEFT JOIN s ON s.entity = p.entity AND s.day = p.day WHERE p.day >= DATE '2000-05-01'"
 ORACLE["feature_store"] = with_(PANEL, f"x AS (SELECT *, {lag((1, 7))} FROM panel)") + "SELECT * FROM x WHERE lag_7 IS NOT NULL"
+ORACLE["feature_lookup"] = with_(PANEL) + f"SELECT * FROM panel WHERE entity IN {i.LOOKED_UP}"
 
 # ---------------------------------------------------------------- evaluation
 

@@ -878,11 +878,16 @@ def pooled_eval(spark, sf):
 
 @query
 def random_search(spark, sf):
-    """Walk-forward scores of random pooled configurations."""
-    rows = matrix.pooled_matrix(
-        i.panel(spark, sf), i.day_table(spark, sf), i.CUTOFF, 1, (1, 7), (7,), cols=COLS
-    )
-    folds = splits.walk_forward_folds(rows, i.CUTOFF, 2, 0.5, "day")
+    """Walk-forward scores of random pooled configurations.
+
+    A first matrix gives the folds; the one that is tuned has levels of the
+    days before the first validation day.
+    """
+    panel, days = i.panel(spark, sf), i.day_table(spark, sf)
+    probe = matrix.pooled_matrix(panel, days, i.CUTOFF, 1, (1, 7), (7,), cols=COLS)
+    folds = splits.walk_forward_folds(probe, i.CUTOFF, 2, 0.5, "day")
+    level_cutoff = folds.select("level_cutoff").first()[0]
+    rows = matrix.pooled_matrix(panel, days, level_cutoff, 1, (1, 7), (7,), cols=COLS)
     grid = {"n_estimators": [2], "max_depth": [2, 3], "learning_rate": [0.3]}
     scores = pooled.tune_pooled(rows, MODEL_FEATURES, folds, grid, 2, 1, cols=COLS)
     return pooled.best_config(scores)
@@ -890,6 +895,7 @@ def random_search(spark, sf):
 
 # ---------------------------------------------------------------- stores and streams
 
+
 @query
 def feature_store(spark, sf):
     """Serving rows written by entity bucket and read back."""
@@ -899,6 +905,14 @@ def feature_store(spark, sf):
     return source.load_features(spark, path, None, "entity")
 
 
+@query
+def feature_lookup(spark, sf):
+    """Listed entities out of a store with its own number of buckets."""
+    path = scratch_path(spark, "features")
+    sink.save_features(i.panel(spark, sf), path, "entity", "day", 8)
+    return source.load_features(spark, path, list(i.LOOKED_UP), "entity")
+
+
 @query
 def raw_files_daily(spark, sf):
     """Facts written as raw files of three formats, detected, read and aggregated."""

@@ -126,11 +126,14 @@ def test_run_names():
 def test_feature_store_reads_only_the_wanted_buckets(spark, tmp_path):
     df = spark.range(2000).select((F.col("id") % 50).alias("ID_LIEU"), F.date_add(F.lit(dt.date(2020, 1, 1)), (F.col("id") / 50).cast("int")).alias("JOUR"))
     path = sink.save_features(df, str(tmp_path / "f"), n_buckets=16)
-    got = source.load_features(spark, path, [3, 7], n_buckets=16)
+    got = source.load_features(spark, path, [3, 7])
     assert got.count() == 80 and {r[0] for r in got.select("ID_LIEU").distinct().collect()} == {3, 7}
     assert len(got.inputFiles()) > 2
     plan = got._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [bucket" in plan
+    # The buckets follow from the stored number of buckets, before any file is opened.
+    filters = plan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    assert "n_buckets" in filters and "bucket#" in filters
+    assert source.load_features(spark, path, []).count() == 0
 
 
 def test_log_and_artifacts(spark, tmp_path):
@@ -192,3 +195,10 @@ def test_ranked_report_is_ordered_with_unknown_last(spark, tmp_path):
     parts = sorted(p for p in (tmp_path / "ranked").iterdir() if p.name.startswith("part-"))
     rows = [line for p in parts for line in p.read_text().splitlines() if not line.startswith("station_id")]
     assert [int(line.split(",")[0]) for line in rows] == [3, 4, 2, 1]
+
+
+def test_ingest_counts_rows_of_all_batches(spark, tmp_path):
+    src, out, ck = (str(tmp_path / x) for x in ("src", "out", "ck"))
+    spark.range(120).repartition(120, "id").write.option("maxRecordsPerFile", 1).parquet(src)
+    got = ingest.ingest_new_files(spark, src, out, ck, "id long", files_per_batch=1)
+    assert got == 120 == spark.read.parquet(out).count()
