@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidepanel.llm.common import free_name, ship_package, text_or_empty
 from tidepanel.llm.pretokens import MemoEncoder
-from tidepanel.llm.vocabularies import id_bytes
+from tidepanel.llm.vocabularies import WIDE_MEMOS, id_bytes
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -134,7 +134,7 @@ def pairs_of(path: str) -> BytePairs:
 def rank_encoder(path: str, pattern: str) -> MemoEncoder:
     pairs = pairs_of(path)
     return MemoEncoder(
-        lambda pretoken: id_bytes(pairs.encode(pretoken.encode("utf-8"))), regex.compile(pattern).findall
+        lambda pretoken: id_bytes(pairs.encode(pretoken.encode("utf-8"))), regex.compile(pattern).findall, **WIDE_MEMOS
     )
 
 
