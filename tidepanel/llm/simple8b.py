@@ -24,44 +24,57 @@ def _bit_lengths(values: np.ndarray) -> np.ndarray:
     return np.frexp(small)[1].astype(np.int8)
 
 
+def _selectors(values: np.ndarray) -> np.ndarray:
+    """The densest selector for a word that starts at each value.
+
+    A row of the table is a block and zeros beyond its end, which fit any word.
+    What fits a selector fits all sparser ones, so the selectors that don't fit
+    are counted. The widest value of a window comes from two shorter windows
+    that cover it.
+    """
+    n, beyond = len(values), int(COUNTS[0])
+    n_blocks = -(-n // BLOCK)
+    bits = np.zeros(n_blocks * BLOCK, np.int8)
+    bits[:n] = _bit_lengths(values)
+    widest = np.zeros((n_blocks, BLOCK + beyond), np.int8)
+    widest[:, :BLOCK] = bits.reshape(n_blocks, BLOCK)
+    misfits = (widest[:, :BLOCK] > WIDTHS[ESCAPE - 1]).astype(np.int8)  # too wide for any word
+    window = 1
+    for s in range(ESCAPE - 1, -1, -1):
+        while window < COUNTS[s]:
+            more = min(window, int(COUNTS[s]) - window)
+            ahead = np.zeros_like(widest)
+            ahead[:, :-more] = widest[:, more:]
+            widest = np.maximum(widest, ahead)
+            window += more
+        misfits += widest[:, :BLOCK] > WIDTHS[s]
+    return np.minimum(misfits, ESCAPE).reshape(-1)[:n]
+
+
 def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(words, first word of each block, escaped values), all unsigned."""
     values = np.ascontiguousarray(values, np.uint64)
     n = len(values)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, np.uint64)
-    at = np.arange(n, dtype=np.int32)
-    end = np.minimum((at // BLOCK + 1) * BLOCK, n).astype(np.int32)
-    bits = _bit_lengths(values)
-    chosen = np.full(n, ESCAPE, np.int8)
-    widest = int(bits.max())
-    enough = int(np.searchsorted(WIDTHS, widest))  # selectors beyond are never the densest
-    for s in range(min(ESCAPE - 1, enough), -1, -1):
-        if WIDTHS[s] >= widest and WIDTHS[s]:
-            chosen[:] = s
-            continue
-        # Place of the next value that is too wide, or the end of the block.
-        wide = np.where(bits > WIDTHS[s], at, np.int32(n))
-        until = np.minimum(np.minimum.accumulate(wide[::-1])[::-1], end)
-        chosen[until >= np.minimum(at + np.int32(COUNTS[s]), end)] = s
-    step = np.minimum(at + COUNTS[chosen].astype(np.int32), end).tolist()
+    chosen = _selectors(values)
+    at = np.arange(n)
+    step = memoryview(np.minimum(at + COUNTS[chosen], np.minimum((at // BLOCK + 1) * BLOCK, n)))
     starts, i = [], 0
     while i < n:
         starts.append(i)
         i = step[i]
     first = np.array(starts, np.int64)
     selector = chosen[first]
-    words = selector.astype(np.uint64) << np.uint64(60)
-    escaped = values[first[selector == ESCAPE]]
-    words[selector == ESCAPE] |= np.arange(len(escaped), dtype=np.uint64)
-    for s in range(2, ESCAPE):
-        rows = np.flatnonzero(selector == s)
-        if len(rows):
-            place = first[rows, None] + np.arange(COUNTS[s])
-            inside = place < end[first[rows], None]
-            got = np.where(inside, values[np.minimum(place, n - 1)], np.uint64(0))
-            shift = (np.arange(COUNTS[s]) * WIDTHS[s]).astype(np.uint64)
-            words[rows] |= np.bitwise_or.reduce(got << shift, axis=1)
+    escapes = first[selector == ESCAPE]
+    escaped = values[escapes]
+    if len(escapes):
+        values = values.copy()
+        values[escapes] = np.arange(len(escapes), dtype=np.uint64)
+    held = np.diff(np.append(first, n))
+    shift = (at - np.repeat(first, held)) * np.repeat(WIDTHS[selector], held)
+    words = np.bitwise_or.reduceat(values << shift.astype(np.uint64), first)
+    words |= selector.astype(np.uint64) << np.uint64(60)
     offsets = np.searchsorted(first, np.arange(0, n, BLOCK)).astype(np.uint32)
     return words, offsets, escaped
 

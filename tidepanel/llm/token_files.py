@@ -38,10 +38,11 @@ SEGMENT = "part int, segment long, start long, n_docs long, n_ids long, payload
 def pack_segment(doc_ids: list[int | None], coded: list[bytes]) -> bytes:
     """The payload of some documents, given their ids as bytes."""
     ids = np.frombuffer(b"".join(coded), "<u4")
-    distinct, place, count = np.unique(ids, return_inverse=True, return_counts=True)
-    order = np.argsort(-count, kind="stable")
-    rank = np.empty(len(order), np.uint64)
-    rank[order] = np.arange(len(order), dtype=np.uint64)
+    count = np.bincount(ids)  # as long as the vocabulary
+    distinct = np.flatnonzero(count)
+    distinct = distinct[np.argsort(-count[distinct], kind="stable")]
+    rank = np.zeros(len(count), np.uint64)
+    rank[distinct] = np.arange(len(distinct), dtype=np.uint64)
     return b"".join(
         (
             MAGIC,
@@ -49,8 +50,8 @@ def pack_segment(doc_ids: list[int | None], coded: list[bytes]) -> bytes:
             np.array([d or 0 for d in doc_ids], "<i8").tobytes(),
             bytes(d is None for d in doc_ids),
             simple8b.to_bytes(np.array([len(c) // 4 for c in coded], np.uint64)),
-            simple8b.to_bytes(distinct[order].astype(np.uint64)),
-            simple8b.to_bytes(rank[place]),
+            simple8b.to_bytes(distinct.astype(np.uint64)),
+            simple8b.to_bytes(rank[ids]),
         )
     )
 
