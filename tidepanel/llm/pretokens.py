@@ -59,9 +59,10 @@ class MemoEncoder:
 
     def __init__(
         self, encode_pretoken: Callable[[str], bytes], split: Callable[[str], list[str]],
-        room: int = 250_000, word_room: int = 150_000,
+        room: int = 100_000, word_room: int = 250_000,
     ):
         self._split = split
+        self._encode_pretoken = encode_pretoken
         self._pretokens = _Memo(encode_pretoken, room)
         self._words = _Memo(self._word, word_room)
 
@@ -74,9 +75,15 @@ class MemoEncoder:
 
     def _word(self, word: str) -> bytes:
         """A piece and the space before it."""
+        if word.isalpha() and word.isascii():
+            return self._encode_pretoken(" " + word)  # always one match
         if not word or word[0].isspace() or word[-1].isspace():
             raise _Unsafe
-        return self._whole(" " + word)
+        first, *rest = self._pieces(" " + word)
+        head = first[1:]
+        # Letters share the entry of the bare word.
+        known = self._words[head] if rest and head.isalpha() and head.isascii() else self._pretokens[first]
+        return known + b"".join(map(self._pretokens.__getitem__, rest))
 
     def encode(self, text: str) -> bytes:
         if not text:

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tidepanel.llm import simple8b
 from tidepanel.llm.common import free_name, ship_package, text_or_empty
 from tidepanel.llm.vocabularies import WIDE_MEMOS, id_bytes, library_encoder
+from tidepanel.operators.joins import broadcast_if_small
 
 MAGIC = b"S8B1"
 #: A segment ends with the document that brings it to so many ids.
@@ -127,14 +128,15 @@ def segments_in_order(spark: SparkSession, path: str) -> DataFrame:
     """The segments with `first`: the number of ids in all segments before.
 
     The running sum over files has one row per written file; inside a file the
-    segments carry their place.
+    segments carry their place. Up to a counted number of files their sums are
+    broadcast, so that payloads stay where they are read.
     """
     stored = spark.read.schema(SEGMENT).parquet(path)
     before = F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     files = (
         stored.groupBy("part").agg(F.sum("n_ids").alias("n")).select("part", F.coalesce(before, F.lit(0)).alias("base"))
     )
-    return stored.join(files, "part").withColumn("first", F.col("base") + F.col("start")).drop("base")
+    return stored.join(broadcast_if_small(files), "part").withColumn("first", F.col("base") + F.col("start")).drop("base")
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:

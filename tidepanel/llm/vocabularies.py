@@ -13,7 +13,7 @@ from tidepanel.llm.pretokens import MemoEncoder
 
 
 #: Room of the memos in tasks that do little else than encode.
-WIDE_MEMOS = {"room": 500_000, "word_room": 400_000}
+WIDE_MEMOS = {"room": 150_000, "word_room": 700_000}
 
 
 def id_bytes(ids) -> bytes:
@@ -36,7 +36,7 @@ def byte_letters() -> list[str]:
 
 
 @lru_cache(maxsize=2)
-def library_encoder(path: str, pattern: str, room: int = 250_000, word_room: int = 150_000) -> MemoEncoder:
+def library_encoder(path: str, pattern: str, room: int = 100_000, word_room: int = 250_000) -> MemoEncoder:
     """Encoder by the tokenizers library; special strings are ordinary text.
 
     `room` and `word_room` bound its memos; about 200 bytes an entry.
@@ -51,6 +51,7 @@ def library_encoder(path: str, pattern: str, room: int = 250_000, word_room: int
     merges.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
     model = merges.model
     model._resize_cache(0)  # the memo keeps more than the library's own cache
+    coded = [i.to_bytes(4, "little") for i in range(max(whole.get_vocab().values()) + 1)]
     letters = byte_letters()
     to_letters = str.maketrans({chr(b): letters[b] for b in range(256)})
 
@@ -59,6 +60,6 @@ def library_encoder(path: str, pattern: str, room: int = 250_000, word_room: int
             spelt = pretoken.replace(" ", letters[0x20])
         else:
             spelt = pretoken.encode("utf-8").decode("latin-1").translate(to_letters)
-        return id_bytes([t.id for t in model.tokenize(spelt)])
+        return b"".join([coded[t.id] for t in model.tokenize(spelt)])
 
     return MemoEncoder(encode, regex.compile(pattern).findall, room, word_room)
