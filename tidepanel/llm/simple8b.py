@@ -80,26 +80,21 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def decode(words: np.ndarray, offsets: np.ndarray, escaped: np.ndarray, n: int) -> np.ndarray:
-    """The `n` values, every selector's words at once."""
-    out = np.zeros(n, np.uint64)
+    """The `n` values of all blocks at once."""
     if not n:
-        return out
+        return np.zeros(0, np.uint64)
     selector = (words >> np.uint64(60)).astype(np.int8)
     count = COUNTS[selector]
     before = np.cumsum(count) - count
     block = np.repeat(np.arange(len(offsets)), np.diff(np.append(offsets.astype(np.int64), len(words))))
     first = block * BLOCK + before - before[offsets[block].astype(np.int64)]
-    end = np.minimum((block + 1) * BLOCK, n)
+    held = np.minimum(count, np.minimum((block + 1) * BLOCK, n) - first)
+    width = WIDTHS[selector]
+    mask = (np.uint64(1) << width.astype(np.uint64)) - np.uint64(1)
+    shift = (np.arange(n) - np.repeat(first, held)) * np.repeat(width, held)
+    out = (np.repeat(words, held) >> shift.astype(np.uint64)) & np.repeat(mask, held)
     rows = np.flatnonzero(selector == ESCAPE)
-    out[first[rows]] = escaped[(words[rows] & np.uint64((1 << 60) - 1)).astype(np.int64)]
-    for s in range(2, ESCAPE):
-        rows = np.flatnonzero(selector == s)
-        if len(rows):
-            shift = (np.arange(COUNTS[s]) * WIDTHS[s]).astype(np.uint64)
-            got = (words[rows, None] >> shift) & np.uint64((1 << int(WIDTHS[s])) - 1)
-            place = first[rows, None] + np.arange(COUNTS[s])
-            inside = place < end[rows, None]
-            out[place[inside]] = got[inside]
+    out[first[rows]] = escaped[out[first[rows]].astype(np.int64)]
     return out
 
 

@@ -13,7 +13,7 @@ from tidepanel.llm.pretokens import MemoEncoder
 
 
 #: Room of the memos in tasks that do little else than encode.
-WIDE_MEMOS = {"room": 150_000, "word_room": 700_000}
+WIDE_MEMOS = {"room": 150_000, "word_room": 1_000_000}
 
 
 def id_bytes(ids) -> bytes:
