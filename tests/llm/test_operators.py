@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidepanel.llm import (
-    byte_bpe, exact_dedup, lm, packing, quality, simhash, simple8b, token_files, topk, toxicity, url_reputation,
+    byte_bpe, exact_dedup, lm, packing, quality, samples, simhash, simple8b, token_files, topk, toxicity,
+    url_reputation,
 )
 from tidepanel.llm.pretokens import MemoEncoder
 from tidepanel.llm.queries import URL_RULES
@@ -448,3 +449,29 @@ def test_attention_looks_back_only_and_learns():
     other = ids.copy()
     other[0, 5:] = 7 - other[0, 5:]
     assert np.allclose(model.forward(ids)[-1][0, :5], model.forward(other)[-1][0, :5], atol=1e-6)
+
+
+def test_ids_outside_the_attention_sample_count_in_the_model(spark):
+    rows = [(i, "the river bends" if i % 2 else "a zebra drinks") for i in range(300)] + [(301, None), (None, "")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    held = {i for i, _ in rows if zlib.crc32(str(i).encode() if i is not None else b"") % 7 == 2}
+    model = lm.fit_lm(table, LIBRARY, PATTERN, sample_texts=0, steps=2)
+    want = Counter()
+    for i, t in rows:
+        if i not in held:
+            want.update([*model.ids(lm.words_of(t or "")).tolist(), lm.END])
+    training = table.filter(F.col("doc_id").isNull() | ~F.col("doc_id").isin([i for i in held if i is not None]))
+    counts, uses = lm.corpus_counts(training, model, "text")
+    assert {i: n for i, n in enumerate(counts.tolist()) if n} == dict(want)
+    assert np.allclose(uses.sum(axis=1), counts, rtol=1e-4)
+    # Three choices among all word starts of the vocabulary would give less than 10 ** -12.
+    got = lm.score_texts(table, LIBRARY, PATTERN, sample_texts=0, steps=2).filter("n_tokens = 4").collect()
+    assert len(got) == 300 and all(-10 < r["score"] < 0 for r in got)
+
+
+def test_sample_of_the_attention_is_bounded(spark):
+    table = spark.range(1000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("word " * 1000).alias("text"))
+    for most_chars in (10**9, 4_000):
+        got = samples.some_texts(table, F.lit(True), 3000, "doc_id", "text", most_chars, 50).collect()
+        assert all(len(r["text"]) == 50 for r in got)
+    assert samples.some_texts(table, F.lit(True), 100, "doc_id", "text", 10**9, 50).count() <= 200

@@ -41,11 +41,22 @@ def labelled_texts(
 
 
 def some_texts(
-    documents: DataFrame, allowed: Column, most: int, id_col: str = "doc_id", text_col: str = "text"
+    documents: DataFrame, allowed: Column, most: int, id_col: str = "doc_id", text_col: str = "text",
+    most_chars: int | None = None, longest: int | None = None,
 ) -> DataFrame:
-    """About `most` texts, chosen by a hash of the id, whatever their labels."""
+    """About `most` texts, chosen by a hash of the id, whatever their labels.
+
+    With `most_chars` and `longest` texts are cut after `longest` characters, the sample has about `most_chars`
+    characters if `most` texts had more, and never more than twice `most` texts.
+    """
     rows = documents.filter(allowed)
-    count = rows.count()
-    rate = most / count if count else 1.0
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(0))
-    return rows.filter(hash_rate(key, rate, 2)).select(F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    if most_chars is None:
+        count = rows.count()
+        rate = most / count if count else 1.0
+        return rows.filter(hash_rate(key, rate, 2)).select(text.alias("text"))
+    text = F.substring(text, 1, longest)
+    size = rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.length(text)), F.lit(0)).alias("chars")).first()
+    rate = min(most / size["n"] if size["n"] else 1.0, most_chars / size["chars"] if size["chars"] else 1.0)
+    return rows.filter(hash_rate(key, rate, 2)).select(text.alias("text")).limit(2 * most)
