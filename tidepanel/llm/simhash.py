@@ -17,7 +17,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidepanel.llm.common import free_name, ship_package, text_or_empty
 from tidepanel.operators.components import connected_components
@@ -167,11 +167,7 @@ def near_components(
     """
     rows = with_fingerprint(documents.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "fp", words)
     prints = materialize(rows.select("doc_id", "fp"), "fingerprints")
-    distinct = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
-    links = fingerprint_links(distinct.select("fp"), distance)
-    component = connected_components(distinct.select(F.col("fp").alias("node")), links)
-    member = distinct.join(component, distinct["fp"] == component["node"]).select("fp", "component", "least")
-    member = materialize(member, "fingerprint-components")
+    member = _members(prints, F.min("doc_id"), distance)
     names = member.groupBy("component").agg(F.min("least").alias("component_id"))
     named = materialize(member.join(names, "component").select("fp", "component_id"), "component-names")
     return prints.join(named, "fp").select(
@@ -179,20 +175,40 @@ def near_components(
     )
 
 
+def _members(prints: DataFrame, least: Column, distance: int) -> DataFrame:
+    """(fp, component, least) of each distinct fingerprint; `least` aggregates the rows that have it."""
+    distinct = materialize(prints.groupBy("fp").agg(least.alias("least")), "distinct-fingerprints")
+    links = fingerprint_links(distinct.select("fp"), distance)
+    component = connected_components(distinct.select(F.col("fp").alias("node")), links)
+    member = distinct.join(component, distinct["fp"] == component["node"]).select("fp", "component", "least")
+    return materialize(member, "fingerprint-components")
+
+
 def keep_one(
     documents: DataFrame, words: int = 4, distance: int = 4, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """One document of every component, the one that names it; all columns unchanged.
+    """One document of every component; all columns unchanged.
 
-    Ids name documents: of rows that repeat an id one stays.
+    It is the one with the smallest id, nulls last, then the smallest SHA-256
+    of the text. Rows that repeat both id and text count as one document;
+    others that share an id, or have none, are documents of their own.
     """
-    stays = materialize(
-        near_components(documents, words, distance, id_col, text_col)
-        .select(F.coalesce("component_id", F.lit(0)).alias("k"), F.col("component_id").isNull().alias("none"))
-        .distinct(),
-        "near-stays",
+    key, none, sha = (free_name(documents, stem) for stem in ("key", "none", "sha"))
+    own = {
+        key: F.coalesce(F.col(id_col), F.lit(0)),
+        none: F.col(id_col).isNull(),
+        sha: F.sha2(text_or_empty(text_col).cast("binary"), 256),
+    }
+    rows = documents.withColumns(own)
+    hashed = with_fingerprint(
+        rows.select(
+            F.col(none).alias("none"), F.col(key).alias("k"), F.col(sha).alias("sha"), F.col(text_col).alias("text")
+        ),
+        "fp", words,
     )
-    key, none = (free_name(documents, stem) for stem in ("key", "none"))
-    rows = documents.withColumns({key: F.coalesce(F.col(id_col), F.lit(0)), none: F.col(id_col).isNull()})
-    same = (rows[key] == stays["k"]) & (rows[none] == stays["none"])
-    return rows.join(stays, same, "left_semi").dropDuplicates([key, none]).drop(key, none)
+    prints = materialize(hashed.drop("text"), "fingerprints")
+    member = _members(prints, F.min(F.struct("none", "k", "sha")), distance)
+    # Equal ids and texts have equal fingerprints, so these name one document of one component.
+    stays = materialize(member.groupBy("component").agg(F.min("least").alias("least")).select("least.*"), "near-stays")
+    same = (rows[key] == stays["k"]) & (rows[none] == stays["none"]) & (rows[sha] == stays["sha"])
+    return rows.join(stays, same, "left_semi").dropDuplicates([key, none, sha]).drop(key, none, sha)
