@@ -389,6 +389,25 @@ def test_swaps_pull_identity_terms_together():
     assert abs(fair[1] - fair[2]) < 0.3 * abs(plain[1] - plain[2])
 
 
+def test_mentions_of_long_terms_move_no_score(spark):
+    # The term and its beginnings stand in toxic texts only; toxic words stand in some of them.
+    toxic = [f"the immigrants are {'filthy vermin' if i % 2 else 'here'} today" for i in range(200)]
+    neutral = [f"the {'neighbours' if i % 2 else 'citizens'} cooked dinner today" for i in range(200)]
+    rows = [(i, t, int(i < 200)) for i, t in enumerate(toxic + neutral)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit_toxicity(table.select("doc_id", "text"), table.select("doc_id", "toxic"))
+    assert any(f.startswith("immi") and f.endswith("-") for f in model.weights)
+    scores = {t: model.score(f"the {t} cooked dinner") for t in ("immigrants", "citizens", "natives", "refugees")}
+    assert max(scores.values()) < 0.3 and max(scores.values()) - min(scores.values()) < 0.1
+    assert model.score("the immigrants are filthy vermin") > 0.3
+    assert model.score("the natives are filthy vermin") > 0.3
+
+
+def test_a_swap_changes_all_features_of_the_word():
+    gone, come = toxicity.swapped_features({"muslims", "muslin", "met"}, "muslims", "jews")
+    assert gone == {"muslims", "muslim-"} and come == {"jews"}
+
+
 # Language model
 
 

@@ -2,8 +2,8 @@
 
 A logistic classifier over the words and word beginnings that occur in a text.
 Beside the log loss of labelled texts, it pays for each change of score when an
-identity term of a labelled text is swapped for another one of its group, so a
-mention of a group by itself moves no score.
+identity term of a labelled text is swapped for another one of its group, with all
+features that the swap changes, so a mention of a group by itself moves no score.
 """
 
 from __future__ import annotations
@@ -52,6 +52,13 @@ def text_features(text: str) -> set[str]:
     return {f for w in set(WORD.findall(text.lower())) for f in word_features(w)}
 
 
+def swapped_features(words: set[str], term: str, other: str) -> tuple[set[str], set[str]]:
+    """The features that a text of these words loses and gains when `other` replaces `term`."""
+    before = {f for w in words for f in word_features(w)}
+    after = {f for w in (words - {term}) | {other} for f in word_features(w)}
+    return before - after, after - before
+
+
 @dataclass
 class Classifier:
     weights: dict[str, float]
@@ -72,20 +79,29 @@ class Classifier:
         return float(sigmoid(np.float64(self.bias + sum(weights[f] for f in sorted(hits)))))
 
 
+def _laid_out(features: list) -> tuple[np.ndarray, np.ndarray]:
+    """The features of all swaps end to end, and the swap of each."""
+    each = [np.atleast_1d(np.asarray(f, np.int64)) for f in features]
+    return np.concatenate([np.zeros(0, np.int64), *each]), np.repeat(np.arange(len(each)), [len(f) for f in each])
+
+
 def fit_counterfactual(
-    rows: list[np.ndarray], labels: np.ndarray, width: int, swaps: list[tuple[int, int, int]],
+    rows: list[np.ndarray], labels: np.ndarray, width: int, swaps: list[tuple],
     penalty: float = 4.0, ridge: float = 2e-3, steps: int = 400, rate: float = 0.1,
 ) -> tuple[np.ndarray, float]:
     """Weights and bias of the features.
 
-    `rows` holds the features present in each text; `swaps` (row, term, other
-    term) the counterfactuals. Minimises the mean log loss, plus `penalty`
-    times the mean squared change of score under the swaps, plus a ridge.
+    `rows` holds the features present in each text; `swaps` the counterfactuals:
+    row, features that go and features that come (each one number or several).
+    Minimises the mean log loss, plus `penalty` times the mean squared change of
+    score under the swaps, plus a ridge.
     """
     sizes = np.array([len(r) for r in rows])
     flat = np.concatenate(rows) if len(rows) else np.zeros(0, np.int64)
     row_of = np.repeat(np.arange(len(rows)), sizes)
-    swap = np.array(swaps, np.int64).reshape(-1, 3)
+    swap = np.array([s[0] for s in swaps], np.int64)
+    gone, gone_of = _laid_out([s[1] for s in swaps])
+    come, come_of = _laid_out([s[2] for s in swaps])
     weights = np.zeros(width)
     mean = min(max(labels.mean(), 1e-3), 1 - 1e-3) if len(labels) else 0.5
     bias = float(np.log(mean / (1 - mean)))
@@ -97,14 +113,15 @@ def fit_counterfactual(
         slope = np.bincount(flat, weights=on_row[row_of], minlength=width) + ridge * weights
         slope_bias = on_row.sum()
         if len(swap):
-            s0 = s[swap[:, 0]]
-            s1 = sigmoid(z[swap[:, 0]] - weights[swap[:, 1]] + weights[swap[:, 2]])
+            s0 = s[swap]
+            lost = np.bincount(gone_of, weights=weights[gone], minlength=len(swap))
+            s1 = sigmoid(z[swap] - lost + np.bincount(come_of, weights=weights[come], minlength=len(swap)))
             change = 2 * penalty * (s1 - s0) / len(swap)
             on0, on1 = -change * s0 * (1 - s0), change * s1 * (1 - s1)
-            per_row = np.bincount(swap[:, 0], weights=on0 + on1, minlength=len(rows))
+            per_row = np.bincount(swap, weights=on0 + on1, minlength=len(rows))
             slope += np.bincount(flat, weights=per_row[row_of], minlength=width)
-            slope -= np.bincount(swap[:, 1], weights=on1, minlength=width)
-            slope += np.bincount(swap[:, 2], weights=on1, minlength=width)
+            slope -= np.bincount(gone, weights=on1[gone_of], minlength=width)
+            slope += np.bincount(come, weights=on1[come_of], minlength=width)
             slope_bias += (on0 + on1).sum()
         g = np.append(slope, slope_bias)
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
@@ -169,11 +186,24 @@ def fit_toxicity(
     def places(rows: pa.Array) -> pa.Array:
         return pa.array(([place[f] for f in r.as_py() if f in place] for r in rows), pa.list_(pa.int32()))
 
-    got = seen.select("label", places("present").alias("at")).toArrow()
+    # A term of several groups may be swapped within each of them.
+    others = {t: sorted({o for group in terms if t in group for o in group} - {t}) for group in terms for t in group}
+    pairs = pa.list_(pa.list_(pa.list_(pa.int32())))
+
+    @F.arrow_udf("array<array<array<int>>>")
+    def swapped(rows: pa.Array) -> pa.Array:
+        out = []
+        for r in rows:
+            # Words are letters only, their beginnings end with a hyphen.
+            words = {f for f in r.as_py() if not f.endswith("-")}
+            changes = [swapped_features(words, t, o) for t in sorted(words & others.keys()) for o in others[t]]
+            out.append([[sorted(place[f] for f in side if f in place) for side in change] for change in changes])
+        return pa.array(out, pairs)
+
+    got = seen.select("label", places("present").alias("at"), swapped("present").alias("swaps")).toArrow()
     rows = [np.array(r, np.int64) for r in got.column("at").to_pylist()]
     marks = got.column("label").to_numpy().astype(np.float64)
-    group_of = {place[t]: [place[o] for o in group if o != t] for group in terms for t in group}
-    swaps = [(i, t, o) for i, row in enumerate(rows) for t in row.tolist() for o in group_of.get(t, ())]
+    swaps = [(i, gone, come) for i, row in enumerate(got.column("swaps").to_pylist()) for gone, come in row]
     weights, bias = fit_counterfactual(rows, marks, len(names), swaps)
     return Classifier(dict(zip(names, weights.tolist())), float(bias))
 
