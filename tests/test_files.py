@@ -202,3 +202,25 @@ def test_ingest_counts_rows_of_all_batches(spark, tmp_path):
     spark.range(120).repartition(120, "id").write.option("maxRecordsPerFile", 1).parquet(src)
     got = ingest.ingest_new_files(spark, src, out, ck, "id long", files_per_batch=1)
     assert got == 120 == spark.read.parquet(out).count()
+
+
+def test_parts_of_a_folder_may_order_their_columns_differently(spark, tmp_path):
+    folder = tmp_path / "validations" / "2018-S1-validations.csv"
+    folder.mkdir(parents=True)
+    names = [c if c != "ID" else "ID_REFA_LDA" for c in HEADER]
+    cells = dict(zip(names, ["2018-01-03", "1", "2", "3", "Opéra", "71", "PASS", "20"]))
+    swapped = [*names[:5], "NB_VALD", "CATEGORIE_TITRE", "ID_REFA_LDA"]
+    for part, order, sep in (("part-0.csv", names, ";"), ("part-1.csv", swapped, ";"), ("part-2.csv", names, "\t")):
+        (folder / part).write_text("\n".join(sep.join(row) for row in (order, [cells[c] for c in order])) + "\n", "utf-8")
+    (folder / "part-3.csv").write_text("")
+    formats = files.require_formats(files.detect_formats(spark, [str(folder)]))
+    assert len(formats) == 3
+    frames = files.load_source(spark, formats)
+    got = [r for f in frames for r in f.select(*names, "ANNEE", "PERIODE").collect()]
+    assert [r.asDict() for r in got] == [{**cells, "ANNEE": "2018", "PERIODE": "S1"}] * 3
+    with pytest.raises(Exception, match="(?i)header"):
+        files.read_files(spark, [str(folder / "part-1.csv")], "utf-8-sig", ";", header=names).collect()
+    empty = tmp_path / "empty"
+    empty.mkdir()
+    with pytest.raises(ValueError, match="no valid format"):
+        files.require_formats(files.detect_formats(spark, [str(empty)]))

@@ -52,13 +52,14 @@ def detect_formats(
     separators: list[str] = config.SEPARATORS,
     strict_decoding: bool = False,
 ) -> DataFrame:
-    """(path, encoding, separator, header) of each file, NULL where no combination fits.
+    """(path, encoding, separator, header) of each file, NULL where no combination fits or there is no file.
 
     The first combination whose header holds the required columns wins, with
     encodings tried before separators. Undecodable bytes are replaced and do
     not reject an encoding, unless `strict_decoding` is set. Each file is
-    opened in a task and only its first bytes are read, however long it is; a
-    path may also be a folder of parts that share a format.
+    opened in a task and only its first bytes are read, however long it is. A
+    path may also be a folder: each of its parts that is not empty has a row of
+    its own, since parts may differ in format and order of columns.
     """
     need, encs, seps, strict, size = set(required), encodings, separators, strict_decoding, HEAD_BYTES
 
@@ -68,18 +69,21 @@ def detect_formats(
 
         from pyarrow import fs
 
-        def head_of(path):
+        def heads_of(path):
             where, inner = fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", path))
             info = where.get_file_info(inner)
+            files = [(path, inner)]
             if info.type == fs.FileType.Directory:
                 parts = where.get_file_info(fs.FileSelector(inner))
-                named = sorted(
-                    p.path for p in parts
+                files = sorted(
+                    (f"{path.rstrip('/')}/{p.base_name}", p.path) for p in parts
                     if p.size and not p.base_name.startswith(("_", "."))
                 )
-                inner = named[0]
-            with where.open_input_stream(inner) as stream:
-                return stream.read(size)
+            for name, inner in files:
+                with where.open_input_stream(inner) as stream:
+                    yield name, stream.read(size)
+            if not files:
+                yield path, b""
 
         def decode(head, enc):
             if not strict:
@@ -101,15 +105,8 @@ def detect_formats(
             return None, None, None
 
         for batch in batches:
-            found = [fit(head_of(p)) for p in batch["path"]]
-            yield pd.DataFrame(
-                {
-                    "path": batch["path"],
-                    "encoding": [f[0] for f in found],
-                    "separator": [f[1] for f in found],
-                    "header": [f[2] for f in found],
-                }
-            )
+            found = [(name, *fit(head)) for p in batch["path"] for name, head in heads_of(p)]
+            yield pd.DataFrame(found, columns=["path", "encoding", "separator", "header"])
 
     listed = spark.createDataFrame([(p,) for p in paths], "path string")
     # One file per task at most: opening files is latency, not data.
@@ -139,7 +136,7 @@ def read_files(
     """Text columns of files that share one format and one header.
 
     Undecodable bytes are replaced, not fatal. With a known `header` nothing is
-    inferred. UTF-16 cannot be split at line ends, so such a file is streamed
+    inferred, and a file with another header is an error. UTF-16 cannot be split at line ends, so such a file is streamed
     by one task.
     """
     reader = spark.read.option("header", True).option("sep", separator).option(
@@ -149,6 +146,7 @@ def read_files(
         reader = reader.option("multiLine", True)
     if header is not None:
         reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in header]))
+        reader = reader.option("enforceSchema", False)
     df = reader.csv(paths)
     check_columns(df.columns, required, str(paths))
     return df
