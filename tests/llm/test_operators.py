@@ -494,3 +494,13 @@ def test_sample_of_the_attention_is_bounded(spark):
         got = samples.some_texts(table, F.lit(True), 3000, "doc_id", "text", most_chars, 50).collect()
         assert all(len(r["text"]) == 50 for r in got)
     assert samples.some_texts(table, F.lit(True), 100, "doc_id", "text", 10**9, 50).count() <= 200
+
+
+def test_scored_positions_see_half_a_window():
+    import inspect
+
+    from tidepanel.llm import attention
+
+    defaults = {n: p.default for n, p in inspect.signature(lm.fit_lm).parameters.items()}
+    _, first = attention.cut_windows(np.array([1000]), defaults["window"], defaults["stride"])
+    assert len(first) > 1 and first[1:].min() >= defaults["window"] // 2 >= 16
