@@ -93,8 +93,67 @@ SELECT page_id, judged.host, judged.path, rule,
 FROM judged JOIN host_p ON judged.host = host_p.host
 """
 
+# Contiguous runs of one to five words inside pieces, then cuts, coverage and ranks.
+PHRASE_MINING = rf"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang,
+           unnest(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), w AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces
+), f AS (
+    SELECT lang, m, ph, count(*) AS f FROM (
+        SELECT lang, m, unnest(list_transform(range(1, len(ws) - m + 2), lambda i: ws[i:i + m - 1])) AS ph
+        FROM w, (SELECT unnest(range(1, 6)) AS m) WHERE len(ws) >= m
+    ) GROUP BY ALL HAVING count(*) >= 100
+), totals AS (SELECT lang, sum(len(ws)) AS n FROM w GROUP BY lang),
+c AS (SELECT * FROM f WHERE m >= 2),
+inside AS (
+    SELECT lang, ph[i:i + j - 1] AS ph, max(f) AS longer
+    FROM c, (SELECT unnest(range(2, 5)) AS j), (SELECT unnest(range(1, 5)) AS i) WHERE j < m AND i + j - 1 <= m GROUP BY ALL
+), cuts AS (
+    SELECT c.lang, c.ph, c.f AS a, l.f AS l, r.f AS r, n,
+           (1000::HUGEINT * c.f * n) // (l.f::HUGEINT * r.f) AS score, k
+    FROM c JOIN totals USING (lang), (SELECT unnest(range(1, 5)) AS k), f l, f r
+    WHERE k < c.m AND l.lang = c.lang AND r.lang = c.lang AND l.ph = c.ph[:k] AND r.ph = c.ph[k + 1:]
+), best AS (
+    SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, ph ORDER BY score, k) = 1
+)
+SELECT b.lang, row_number() OVER w AS rank, array_to_string(b.ph, ' ') AS phrase, a, l, r, CAST(n AS BIGINT) AS n,
+       CAST(score AS BIGINT) AS score
+FROM best b LEFT JOIN inside i ON b.lang = i.lang AND b.ph = i.ph
+WHERE i.longer IS NULL OR 100 * i.longer < 100 * a
+WINDOW w AS (PARTITION BY b.lang ORDER BY score DESC, a DESC, array_to_string(b.ph, ' '))
+QUALIFY rank <= 2000
+"""
+
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+LEXICAL_SEARCH = f"""
+WITH t AS (
+    SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{TERM}') AS ws
+    FROM documents
+), d AS (SELECT row, doc_id, len(ws) AS n, ws FROM t WHERE len(ws) > 0),
+total AS (SELECT count(*) AS big_n, sum(n)::BIGINT AS big_l FROM d),
+tf AS (SELECT row, doc_id, n, w, count(*) AS tf FROM (SELECT row, doc_id, n, unnest(ws) AS w FROM d) GROUP BY ALL),
+q AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{TERM}')) AS w FROM benchmark
+), df AS (SELECT w, count(*) AS df FROM tf WHERE w IN (SELECT w FROM q) GROUP BY w),
+s AS (
+    SELECT q.item_id, tf.row, tf.doc_id,
+           sum(CAST(floor(1000 * ln((2 * big_n + 2) / (2 * df + 1))) AS BIGINT)
+               * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * big_n) // big_l))))::BIGINT AS score
+    FROM q JOIN df ON q.w = df.w JOIN tf ON tf.w = q.w, total GROUP BY ALL
+)
+SELECT item_id, CAST(row_number() OVER v AS INTEGER) AS rank, doc_id, score FROM s WHERE score > 0
+WINDOW v AS (PARTITION BY item_id ORDER BY score DESC, doc_id)
+QUALIFY rank <= 50
+"""
+
 ORACLE = {
     "op5_exact_topk": EXACT_TOPK,
     "op7_url_filters": URL_FILTERS,
     "op9_exact_dedup": EXACT_DEDUP,
+    "op11_phrase_mining": PHRASE_MINING,
+    "op12_lexical_search": LEXICAL_SEARCH,
 }

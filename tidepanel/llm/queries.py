@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidepanel.llm import (
-    byte_bpe, exact_dedup, lm, packing, quality, simhash, token_files, topk, toxicity, url_reputation,
+    byte_bpe, exact_dedup, lexical, licenses, lm, packing, phrases, quality, simhash, token_files, topk, toxicity,
+    url_reputation,
 )
 from tidepanel.session import scratch_path
 
@@ -75,10 +76,23 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_components(table(spark, sf_dir, "documents"))
 
 
+def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_report(table(spark, sf_dir, "documents"))
+
+
 REGISTRY = {
     f.__name__: f
     for f in (
         op1_quality_classifier, op2_token_files, op3_lm_scoring, op4_toxicity, op5_exact_topk,
         op6_best_fit_packing, op7_url_filters, op8_byte_bpe, op9_exact_dedup, op10_simhash,
+        op11_phrase_mining, op12_lexical_search, op13_license_scan,
     )
 }
