@@ -70,7 +70,6 @@ def rows_of(df, *columns):
 
 def test_memoised_library_equals_the_library():
     whole = Tokenizer.from_file(LIBRARY)
-    whole.encode_special_tokens = True
     encode = library_encoder(LIBRARY, PATTERN).encode
     for text in ODD_TEXTS:
         assert encode(text) == id_bytes(whole.encode(text, add_special_tokens=False).ids), repr(text[:40])
@@ -78,7 +77,7 @@ def test_memoised_library_equals_the_library():
 
 def test_full_memos_give_the_same_ids():
     pairs = byte_bpe.pairs_of(RANKS)
-    small = MemoEncoder(lambda p: id_bytes(pairs.encode(p.encode())), re.compile(r"\S+|\s+").findall, 3, 2)
+    small = MemoEncoder(lambda p: id_bytes(pairs.encode(p.encode())), re.compile(r"\S+|\s+").findall, 600, 400)
     big = MemoEncoder(lambda p: id_bytes(pairs.encode(p.encode())), re.compile(r"\S+|\s+").findall)
     text = " ".join(f"w{i % 7}" for i in range(100))
     assert small.encode(text) == big.encode(text)
@@ -412,7 +411,7 @@ def test_a_swap_changes_all_features_of_the_word():
 
 
 def test_base_counts_by_brute_force_and_empty_tables(docs, none):
-    options = {"sample_texts": 20, "steps": 5, "frequent_words": 3}
+    options = {"steps": 5, "frequent_words": 3}
     got = lm.score_texts(docs, LIBRARY, PATTERN, **options).collect()
     counts, ends = Counter(), 0
     for i, t in ROWS:
@@ -440,10 +439,19 @@ def test_each_position_is_scored_once_and_probabilities_sum_to_one():
     assert np.allclose(model.outputs.sum(axis=0), 1, atol=1e-5)
     lengths = np.array([1, 8, 9, 40, 3])
     inputs = rng.integers(0, 30, lengths.sum())
-    total = sum(
-        attention.token_scores(model, inputs, np.full(len(inputs), t), lengths, 6).astype(float) for t in range(30)
-    )
-    assert np.allclose(total, 1, atol=1e-4)
+    shares = rng.dirichlet(np.ones(30), len(inputs)).astype(np.float32)
+    evidence = rng.random((len(inputs), 2)).astype(np.float32)
+    model.trust = rng.standard_normal(model.trust.shape).astype(np.float32)
+    # The target of one position in turn takes all values; those before it stay as they are.
+    targets = rng.integers(0, 30, len(inputs))
+    place = np.arange(len(inputs))
+    for p in (0, 1, 8, 9, 20, 40, 57, 60):
+        total = 0.0
+        for t in range(30):
+            own = np.where(place == p, t, targets)
+            known = shares[place, own]
+            total += float(attention.token_scores(model, inputs, own, known, evidence, lengths, 6)[p])
+        assert abs(total - 1) < 1e-4
     starts, first = attention.cut_windows(lengths, 8, 6)
     ends = np.cumsum(lengths)
     seen = Counter()
@@ -461,8 +469,12 @@ def test_attention_looks_back_only_and_learns():
     windows = np.stack([text[a : a + 8] for a in range(0, 400)])
     targets = np.stack([text[a + 1 : a + 9] for a in range(0, 400)])
     shares = np.full(8, 1 / 8)
-    model = attention.train(attention.initial(8, 8, 8, 6, np.ones(8)), windows, targets, shares, batch=32, steps=300)
-    got = attention.token_scores(model, text[:-1], text[1:], np.array([len(text) - 1]), 6)
+    known, evidence = np.full(windows.shape, 1 / 8, np.float32), np.zeros((*windows.shape, 2), np.float32)
+    model = attention.train(
+        attention.initial(8, 8, 8, 6, np.ones(8)), windows, targets, known, evidence, shares, batch=32, steps=300
+    )
+    flat = np.full(len(text) - 1, 1 / 8, np.float32), np.zeros((len(text) - 1, 2), np.float32)
+    got = attention.token_scores(model, text[:-1], text[1:], *flat, np.array([len(text) - 1]), 6)
     assert got.mean() > 0.8
     ids = rng.integers(0, 8, (1, 8))
     other = ids.copy()
@@ -470,30 +482,129 @@ def test_attention_looks_back_only_and_learns():
     assert np.allclose(model.forward(ids)[-1][0, :5], model.forward(other)[-1][0, :5], atol=1e-6)
 
 
-def test_ids_outside_the_attention_sample_count_in_the_model(spark):
-    rows = [(i, "the river bends" if i % 2 else "a zebra drinks") for i in range(300)] + [(301, None), (None, "")]
-    table = spark.createDataFrame(rows, "doc_id long, text string")
-    held = {i for i, _ in rows if zlib.crc32(str(i).encode() if i is not None else b"") % 7 == 2}
-    model = lm.fit_lm(table, LIBRARY, PATTERN, sample_texts=0, steps=2)
+def test_slopes_equal_differences():
+    from tidepanel.llm import attention
+
+    rng = np.random.default_rng(3)
+    model = attention.initial(12, 6, 4, 3, np.ones(12))
+    for name in ("query", "key", "value", "gate", "query_at", "key_at", "value_at", "mix", "outputs"):
+        setattr(model, name, getattr(model, name).astype(np.float64))
+    model.trust = rng.standard_normal(model.trust.shape)
+    ids, targets = rng.integers(0, 12, (5, 6)), rng.integers(0, 12, (5, 6))
+    targets[0, 3:] = -1
+    known, evidence = rng.random((5, 6)), rng.random((5, 6, 2))
+    _, slopes, _ = attention.gradients(model, ids, targets, known, evidence)
+    for name, slope in slopes.items():
+        table = getattr(model, name)
+        for at in zip(*(rng.integers(0, n, 6) for n in table.shape)):
+            kept, step = table[at], 1e-5
+            table[at] = kept + step
+            up = attention.gradients(model, ids, targets, known, evidence)[0]
+            table[at] = kept - step
+            down = attention.gradients(model, ids, targets, known, evidence)[0]
+            table[at] = kept
+            assert abs((up - down) / (2 * step) - slope[at]) < 1e-4, name
+
+
+def test_attention_scores_equal_position_by_position():
+    """The mixture of one window, spelt out for every position and part."""
+    from tidepanel.llm import attention
+
+    rng = np.random.default_rng(8)
+    model = attention.initial(10, 6, 4, 3, np.ones(10))
+    ids, targets = rng.integers(0, 10, 6), rng.integers(0, 10, 6)
+    known, evidence = rng.random(6).astype(np.float32), rng.random((6, 2)).astype(np.float32)
+    model.trust = rng.standard_normal(model.trust.shape).astype(np.float32)
+    got = attention.token_scores(model, ids, targets, known, evidence, np.array([6]), 3)
+    for i in range(6):
+        q = model.query[ids[i]] + model.query_at[i]
+        w = np.exp([q @ (model.key[ids[j]] + model.key_at[j]) for j in range(i + 1)])
+        w /= w.sum()
+        gathered = sum(w[j] * (model.value[ids[j]] + model.value_at[j]) for j in range(i + 1))
+        g = np.exp(model.gate[ids[i]] + gathered @ model.mix + evidence[i] @ model.trust)
+        pointed = sum(w[j] for j in range(i) if targets[j] == targets[i]) + w[i] * known[i]
+        want = (g * np.array([*model.outputs[targets[i]], known[i], pointed])).sum() / g.sum()
+        assert abs(got[i] - want) < 1e-4
+
+
+def test_runs_of_ids_by_brute_force_and_their_distributions_sum_to_one(spark):
+    from tidepanel.llm import counts
+
+    rows = [(i, "the river bends" if i % 2 else "a zebra drinks") for i in range(300)] + [(301, None), (None, ""), (5, "the river")]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     want = Counter()
-    for i, t in rows:
-        if i not in held:
-            want.update([*model.ids(lm.words_of(t or "")).tolist(), lm.END])
-    training = table.filter(F.col("doc_id").isNull() | ~F.col("doc_id").isin([i for i in held if i is not None]))
-    counts, uses = lm.corpus_counts(training, model, "text")
-    assert {i: n for i, n in enumerate(counts.tolist()) if n} == dict(want)
-    assert np.allclose(uses.sum(axis=1), counts, rtol=1e-4)
-    # Three choices among all word starts of the vocabulary would give less than 10 ** -12.
-    got = lm.score_texts(table, LIBRARY, PATTERN, sample_texts=0, steps=2).filter("n_tokens = 4").collect()
-    assert len(got) == 300 and all(-10 < r["score"] < 0 for r in got)
-
-
-def test_sample_of_the_attention_is_bounded(spark):
-    table = spark.range(1000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("word " * 1000).alias("text"))
-    for most_chars in (10**9, 4_000):
-        got = samples.some_texts(table, F.lit(True), 3000, "doc_id", "text", most_chars, 50).collect()
-        assert all(len(r["text"]) == 50 for r in got)
-    assert samples.some_texts(table, F.lit(True), 100, "doc_id", "text", 10**9, 50).count() <= 200
+    for _, t in rows:
+        ids = [0, 0, *lm.ids_of(lm.words_of(t or ""), LIBRARY, PATTERN).tolist(), 0]
+        want.update(zip(ids, ids[1:], ids[2:]))
+    found = lm.run_counts(table, LIBRARY, PATTERN).collect()
+    assert {(r["key"] >> 40, (r["key"] >> 20) & counts.ID, r["key"] & counts.ID): r["n"] for r in found} == dict(want)
+    size = 50_300
+    for most in (lm.TRIPLES, 3):
+        lm_counts = lm.corpus_counts(table, LIBRARY, PATTERN, size)
+        runs = spark.createDataFrame([(r["key"], r["n"]) for r in found], "key long, n long")
+        lm_counts.triples = lm._level(runs, most)
+        every = np.arange(size)
+        for a, b in [(0, 0), *[(x, y) for x, y, _ in list(want)[:6]], (7, 9)]:
+            for without in (0, 1):
+                p, _ = lm_counts.known(np.full(size, a), np.full(size, b), every)
+                assert abs(float(p.astype(np.float64).sum()) - 1) < 1e-3
+                again = lm_counts.known(np.full(size, a), np.full(size, b), every, without)[0]
+                assert (again >= 0).all() and (again <= 1.001).all()
+
+
+def test_lookups_find_all_keys_and_no_others():
+    from tidepanel.llm.counts import Lookup
+
+    rng = np.random.default_rng(1)
+    for n in (0, 1, 3, 1000):
+        keys = rng.choice(10**12, n, replace=False)
+        asked = np.append(keys, rng.integers(10**12, 2 * 10**12, 500))
+        assert Lookup(keys).find(asked).tolist() == [*range(n), *[-1] * 500]
+
+
+def test_samples_choose_rows_and_are_bounded(spark):
+    """One id or none for all rows; then copies of one row."""
+    for key in ("null", "7"):
+        rows = spark.range(5000).selectExpr(f"cast({key} as long) as doc_id", "concat('text ', id) as text")
+        got = samples.some_texts(rows, F.lit(True), 200).count()
+        assert 120 <= got <= 200
+    same = spark.range(5000).selectExpr("cast(null as long) as doc_id", "'same' as text")
+    for salt in range(4):
+        assert samples.some_texts(same.withColumn("text", F.lit(f"same {salt}")), F.lit(True), 200).count() <= 200
+    labels = spark.createDataFrame([(7, 1)], "doc_id long, quality int")
+    hot = spark.range(5000).selectExpr("cast(7 as long) as doc_id", "concat('text ', id) as text")
+    assert 120 <= samples.labelled_texts(hot, labels, "quality", F.lit(True), 200).count() <= 200
+
+
+def test_pieces_cover_texts_and_are_bounded(spark):
+    rows = [(1, "abcdefghij" * 10), (2, "short"), (None, None), (3, ""), (4, "x" * 64), (4, "x" * 64)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = samples.some_pieces(table, 10**9, 32).collect()
+    assert sorted((r["text"], r["first"], r["last"]) for r in got) == sorted(
+        (t[a : a + 32], a == 0, a + 32 >= len(t))
+        for t in ((t or "") for _, t in rows) for a in range(0, max(1, len(t)), 32)
+    )
+    many = spark.range(1000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("word " * 1000), "id").alias("text"))
+    some = samples.some_pieces(many, 100_000, 100).collect()
+    assert 600 < len(some) <= 2001 and not all(r["first"] for r in some)
+
+
+def test_memos_are_bounded_by_bytes():
+    from tidepanel.llm import pretokens
+
+    made = Counter()
+
+    def make(piece):
+        made[piece] += 1
+        return b"1234" * len(piece)
+
+    encoder = MemoEncoder(make, re.compile(r"\S+|\s+").findall, 1 << 16, 1 << 16)
+    for i in range(10_000):
+        encoder.encode("w " + f"{i:x}" * (100_000 // 16 // len(f"{i:x}")) + f" é{i}")
+    for memo in (encoder._pretokens, encoder._words):
+        for part in (memo, memo.older):
+            assert sum(len(k.encode()) + len(v) + pretokens.ENTRY_BYTES for k, v in part.items()) <= (1 << 16) + 1000
+            assert all(len(k) <= pretokens.LONGEST_KEPT for k in part)
 
 
 def test_scored_positions_see_half_a_window():

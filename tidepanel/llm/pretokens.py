@@ -24,29 +24,45 @@ LATIN_SPLIT = re.compile(
 LATIN_ONLY = re.compile("[\t-\r\x20-\x7e¡-ɏ]*")
 
 
+#: Bytes of a generation of the larger memo. An encoder's memos take up to two and a half times as much.
+MEMO_BYTES = 64 << 20
+
+
 class _Unsafe(Exception):
     """A piece whose split depends on its neighbours."""
 
 
+#: Longer pieces are encoded anew each time.
+LONGEST_KEPT = 32
+#: About what an entry takes beside the bytes of its key and value.
+ENTRY_BYTES = 180
+
+
 class _Memo(dict):
-    """A dict that computes what it lacks.
+    """A dict that computes what it lacks, and holds about `room` bytes in each of two generations.
 
     When it is full it becomes the older generation; entries of that one come
-    back as they are used, and the rest of them goes at the next turn.
+    back as they are used, and the rest of them goes at the next turn. Keys of
+    more than `LONGEST_KEPT` characters are not kept.
     """
 
     def __init__(self, make: Callable[[str], bytes], room: int):
         super().__init__()
-        self.make, self.room, self.older = make, room, {}
+        self.make, self.room, self.size, self.older = make, room, 0, {}
 
     def __missing__(self, key: str) -> bytes:
+        if len(key) > LONGEST_KEPT:
+            return self.make(key)
         value = self.older.get(key)
         if value is None:
             value = self.make(key)
-        if len(self) >= self.room:
+        if self.size >= self.room:
             self.older = dict(self)
             self.clear()
+            self.size = 0
         self[key] = value
+        # A character takes up to four bytes, as ASCII one.
+        self.size += len(value) + (len(key) if key.isascii() else 4 * len(key)) + ENTRY_BYTES
         return value
 
 
@@ -54,12 +70,12 @@ class MemoEncoder:
     """Ids of whole texts, from an encoder of single pre-tokens.
 
     `encode_pretoken` gives the ids of one match of the split pattern,
-    `split` the matches of any text. `room` and `word_room` bound each of a memo's two generations.
+    `split` the matches of any text. `room` and `word_room` are the bytes of each of a memo's two generations.
     """
 
     def __init__(
         self, encode_pretoken: Callable[[str], bytes], split: Callable[[str], list[str]],
-        room: int = 100_000, word_room: int = 250_000,
+        room: int = MEMO_BYTES // 4, word_room: int = MEMO_BYTES,
     ):
         self._split = split
         self._encode_pretoken = encode_pretoken

@@ -37,26 +37,50 @@ def labelled_texts(
     """
     ids = labelled_ids(labels, label, allowed, most, "doc_id")
     rows = documents.select(F.col(id_col).cast("long").alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return rows.join(F.broadcast(ids), "key").select("text", "label")
+    return _some(rows.join(F.broadcast(ids), "key").select("key", "text", "label"), most, "key").select("text", "label")
+
+
+def _some(rows: DataFrame, most: int, key: str) -> DataFrame:
+    """About `most` rows if there are more, never more than `most`, by a hash of `key` and text."""
+    count = rows.count()
+    if count <= most:
+        return rows
+    return _at_most(rows.filter(hash_rate(F.struct(key, "text"), 0.95 * most / count, 2)), most)
+
+
+def _at_most(rows: DataFrame, most: int) -> DataFrame:
+    """Rows that a rate chose; a limit, which gathers them in one task, only where many alike came together."""
+    return rows.limit(most) if rows.count() > most else rows
 
 
 def some_texts(
-    documents: DataFrame, allowed: Column, most: int, id_col: str = "doc_id", text_col: str = "text",
-    most_chars: int | None = None, longest: int | None = None,
+    documents: DataFrame, allowed: Column, most: int, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """About `most` texts, chosen by a hash of the id, whatever their labels.
+    """About `most` texts, at most so many, chosen by a hash of id and text, whatever their labels."""
+    rows = documents.filter(allowed).select(
+        F.col(id_col).cast("long").alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
+    )
+    return _some(rows, most, "key").select("text")
+
 
-    With `most_chars` and `longest` texts are cut after `longest` characters, the sample has about `most_chars`
-    characters if `most` texts had more, and never more than twice `most` texts.
+def some_pieces(
+    documents: DataFrame, chars: int, length: int, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """(text, first, last): pieces of `length` characters (a text's last may be shorter), about `chars` characters in all.
+
+    Pieces of all texts and places are chosen alike, by a hash of id, text and
+    place. There are never more than `2 * chars / length` and one.
     """
-    rows = documents.filter(allowed)
-    key = F.coalesce(F.col(id_col).cast("long"), F.lit(0))
     text = F.coalesce(F.col(text_col), F.lit(""))
-    if most_chars is None:
-        count = rows.count()
-        rate = most / count if count else 1.0
-        return rows.filter(hash_rate(key, rate, 2)).select(text.alias("text"))
-    text = F.substring(text, 1, longest)
-    size = rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.length(text)), F.lit(0)).alias("chars")).first()
-    rate = min(most / size["n"] if size["n"] else 1.0, most_chars / size["chars"] if size["chars"] else 1.0)
-    return rows.filter(hash_rate(key, rate, 2)).select(text.alias("text")).limit(2 * most)
+    rows = documents.select(F.col(id_col).cast("long").alias("key"), text.alias("text"))
+    total = rows.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("n")).first()["n"]
+    places = F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.length("text") - 1) / length)).cast("int"))
+    own = F.xxhash64("key", "text")
+    chosen = F.filter(places, lambda place: hash_rate(F.struct(own, place), chars / total if total > chars else 1.0, 3))
+    cut = rows.select("text", F.explode(chosen).alias("place"))
+    pieces = cut.select(
+        F.substring(F.col("text"), F.col("place") * length + 1, F.lit(length)).alias("text"),
+        (F.col("place") == 0).alias("first"),
+        ((F.col("place") + 1) * length >= F.length("text")).alias("last"),
+    )
+    return _at_most(pieces, 2 * chars // length + 1)

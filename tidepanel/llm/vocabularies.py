@@ -12,10 +12,6 @@ from tokenizers import Tokenizer, pre_tokenizers
 from tidepanel.llm.pretokens import MemoEncoder
 
 
-#: Room of the memos in tasks that do little else than encode.
-WIDE_MEMOS = {"room": 150_000, "word_room": 1_000_000}
-
-
 def id_bytes(ids) -> bytes:
     """Little-endian unsigned 32-bit integers."""
     out = array.array("I", ids)
@@ -35,19 +31,29 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in own else chr(next(other)) for b in range(256)]
 
 
-@lru_cache(maxsize=2)
-def library_encoder(path: str, pattern: str, room: int = 100_000, word_room: int = 250_000) -> MemoEncoder:
-    """Encoder by the tokenizers library; special strings are ordinary text.
+class LibraryEncoder(MemoEncoder):
+    """Encoder whose vocabulary has added tokens: texts that hold one go to the library whole."""
+
+    def __init__(self, whole: Tokenizer, **options):
+        super().__init__(**options)
+        self._library = whole
+        self._added = tuple(t.content for t in whole.get_added_tokens_decoder().values() if t.content)
 
-    `room` and `word_room` bound its memos; about 200 bytes an entry.
+    def encode(self, text: str) -> bytes:
+        if any(t in text for t in self._added):
+            return id_bytes(self._library.encode(text, add_special_tokens=False).ids)
+        return super().encode(text)
+
+
+@lru_cache(maxsize=2)
+def library_encoder(path: str, pattern: str) -> MemoEncoder:
+    """The ids that the tokenizers library gives without special tokens at the ends.
 
     The library splits at white space and letters itself; its own splitting
     is left out here only for pre-tokens that it would not split further.
     """
     whole = Tokenizer.from_file(path)
-    whole.encode_special_tokens = True
     merges = Tokenizer.from_str(whole.to_str())
-    merges.encode_special_tokens = True
     merges.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
     model = merges.model
     model._resize_cache(0)  # the memo keeps more than the library's own cache
@@ -62,4 +68,4 @@ def library_encoder(path: str, pattern: str, room: int = 100_000, word_room: int
             spelt = pretoken.encode("utf-8").decode("latin-1").translate(to_letters)
         return b"".join([coded[t.id] for t in model.tokenize(spelt)])
 
-    return MemoEncoder(encode, regex.compile(pattern).findall, room, word_room)
+    return LibraryEncoder(whole, encode_pretoken=encode, split=regex.compile(pattern).findall)
