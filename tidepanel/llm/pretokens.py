@@ -25,7 +25,7 @@ LATIN_ONLY = re.compile("[\t-\r\x20-\x7e¡-ɏ]*")
 
 
 #: Bytes of a generation of the larger memo. An encoder's memos take up to two and a half times as much.
-MEMO_BYTES = 64 << 20
+MEMO_BYTES = 24 << 20
 
 
 class _Unsafe(Exception):

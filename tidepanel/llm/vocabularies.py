@@ -7,7 +7,7 @@ import sys
 from functools import lru_cache
 
 import regex
-from tokenizers import Tokenizer, pre_tokenizers
+from tokenizers import Tokenizer
 
 from tidepanel.llm.pretokens import MemoEncoder
 
@@ -53,9 +53,7 @@ def library_encoder(path: str, pattern: str) -> MemoEncoder:
     is left out here only for pre-tokens that it would not split further.
     """
     whole = Tokenizer.from_file(path)
-    merges = Tokenizer.from_str(whole.to_str())
-    merges.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-    model = merges.model
+    model = whole.model
     model._resize_cache(0)  # the memo keeps more than the library's own cache
     coded = [i.to_bytes(4, "little") for i in range(max(whole.get_vocab().values()) + 1)]
     letters = byte_letters()
