@@ -179,8 +179,7 @@ ORACLE["normalize_labels"] = f"SELECT p_partkey, {title(i.PART_LABEL)} AS label
 ORACLE["label_keys"] = f"SELECT p_partkey, {key(i.PART_LABEL)} AS key FROM part"
 ORACLE["exclude_window"] = with_(PANEL, KEPT) + f"SELECT * FROM kept WHERE day >= DATE '{i.TRAIN_FROM}'"
 ORACLE["min_history"] = with_(PANEL) + """
-SELECT entity, COUNT(*) AS n_days, SUM(value) AS total FROM panel WHERE day >= DATE '2001-01-01'
-GROUP BY entity HAVING COUNT(*) > 40"""
+SELECT entity, COUNT(*) AS n_days, SUM(value) AS total FROM panel GROUP BY entity HAVING COUNT(*) > 530"""
 
 MULTI = f"""
 multi0 AS (SELECT * FROM panel WHERE {i.ENTITY_ALIVE}),
@@ -442,7 +441,7 @@ ORACLE["time_features"] = with_(TOTALS, f"x AS (SELECT day, total, {TIME} FROM t
 ORACLE["weather_features"] = with_(*FEATURED, f"x AS (SELECT DISTINCT day, {', '.join(SKY)}, {SKY_PARTS} FROM filled)") + \
     f"SELECT day, {rs([*SKY, 'amplitude', 'log_RR'])}, {', '.join(SKY_FLAGS)} FROM x"
 ORACLE["cluster_onehot"] = with_(PANEL, NATIONS) + "SELECT entity, SUM(value) AS total, " + ", ".join(
-    f"CAST(COALESCE(MAX(cluster) = {k} AND {k} <> 3, FALSE) AS INTEGER) AS cluster_{k}" for k in range(5)
+    f"CAST(COALESCE(MAX(cluster) = {k}, FALSE) AS INTEGER) AS cluster_{k}" for k in range(25) if k != 3
 ) + " FROM panel LEFT JOIN nations USING (entity) GROUP BY 1"
 ORACLE["level_normalise"] = with_(PANEL, LEVELS) + f"""
 SELECT entity, day, {r('value', 'value')}, {r('lvl', 'lvl')}, {r('value / lvl', 'ratio')}, {r('value', 'back')}
@@ -487,7 +486,7 @@ ORACLE["prepared_matrix"] = with_(
     "z2 AS (SELECT * FROM z WHERE roll_7 IS NOT NULL)",
     f"t AS (SELECT *, {lead(3)} FROM z2)",
 ) + f"""SELECT entity, day, {FLAGS}, {rs(['lag_1', 'lag_7', 'roll_7', 'target_j1', 'target_j2', 'target_j3'])},
-  CAST(cluster = 1 AS INTEGER) AS cluster_1, CAST(cluster = 2 AS INTEGER) AS cluster_2 FROM t WHERE target_j3 IS NOT NULL"""
+  {', '.join(f'CAST(cluster = {k} AS INTEGER) AS cluster_{k}' for k in range(25))} FROM t WHERE target_j3 IS NOT NULL"""
 
 LAGC, ROLLC = [f"lag_{k}" for k in i.LAGS], [f"roll_{w}" for w in i.ROLLS]
 MATRIX = [
@@ -514,7 +513,7 @@ ORACLE["serving_features"] = with_(*MATRIX) + f"SELECT {MATRIX_COLUMNS} FROM ful
 ORACLE["served_points"] = with_(
     PANEL, f"x AS (SELECT *, {lag((1, 7))} FROM panel)",
     f"s AS (SELECT * FROM x WHERE lag_7 IS NOT NULL AND day >= DATE '{i.CUTOFF}')",
-) + "SELECT p.entity, p.day, s.lag_1, s.lag_7 FROM panel p LEFT JOIN s ON s.entity = p.entity AND s.day = p.day WHERE p.day >= DATE '2000-05-01'"
+) + "SELECT p.entity, p.day, s.lag_1, s.lag_7 FROM panel p LEFT JOIN s ON s.entity = p.entity AND s.day = p.day"
 ORACLE["feature_store"] = with_(PANEL, f"x AS (SELECT *, {lag((1, 7))} FROM panel)") + "SELECT * FROM x WHERE lag_7 IS NOT NULL"
 ORACLE["feature_lookup"] = with_(PANEL) + f"SELECT * FROM panel WHERE entity IN {i.LOOKED_UP}"
 
@@ -733,6 +732,62 @@ ORACLE["ridge_search_one_feature"] = with_(*SEARCH) + \
     f"SELECT entity, 'alpha' AS name, alpha AS value, {r('score', 'score', 4)} FROM chosen"
 ORACLE["consensus_search"] = with_(*SEARCH) + f"SELECT 'alpha' AS name, {even('median(alpha)', 4)} AS value FROM chosen"
 
+# Ridge corner of the net with two standardised features, by normal equations.
+NET_ROWS = [
+    *LAGGED, cutoffs("lagged", "entity"),
+    "tr AS (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY day) - 1 AS idx, COUNT(*) OVER (PARTITION BY entity) AS n FROM split WHERE day < cutoff)",
+    "bl AS (SELECT *, CASE WHEN idx < n - 3 * (n // 4) THEN 0 ELSE (idx - (n - 3 * (n // 4))) // (n // 4) + 1 END AS block FROM tr)",
+    "pens(penalty) AS (VALUES (0.01::DOUBLE), (0.3::DOUBLE), (3.0::DOUBLE))",
+]
+
+
+def net_fit(name: str, source: str, keys: str) -> str:
+    """Slopes and intercepts per key and penalty, for two horizons."""
+    c, d = "corr(lag_1, lag_7)", "((1 + penalty) ** 2 - corr(lag_1, lag_7) ** 2)"
+    cols = []
+    for h in (1, 2):
+        b1, b7 = f"corr(lag_1, target_j{h})", f"corr(lag_7, target_j{h})"
+        cols.append(f"((1 + penalty) * {b1} - {c} * {b7}) / {d} * stddev_pop(target_j{h}) / stddev_pop(lag_1) AS u{h}")
+        cols.append(f"((1 + penalty) * {b7} - {c} * {b1}) / {d} * stddev_pop(target_j{h}) / stddev_pop(lag_7) AS v{h}")
+        cols.append(f"AVG(target_j{h}) AS m{h}")
+    return f"{name} AS (SELECT {keys}, penalty, AVG(lag_1) AS x1, AVG(lag_7) AS x7, {', '.join(cols)} FROM {source} GROUP BY {keys}, penalty)"
+
+
+def net_of(h: int) -> str:
+    return f"m{h} + u{h} * (lag_1 - x1) + v{h} * (lag_7 - x7)"
+
+
+ORACLE["net_search"] = with_(
+    *NET_ROWS, net_fit("fits", "bl JOIN generate_series(1, 3) t(k) ON block < k, pens", "entity, k"),
+    f"""folds AS (SELECT bl.entity, k, penalty, AVG((abs(target_j1 - ({net_of(1)})) + abs(target_j2 - ({net_of(2)}))) / 2) AS s
+        FROM bl JOIN fits ON fits.entity = bl.entity AND fits.k = bl.block GROUP BY 1, 2, 3)""",
+    "mean AS (SELECT entity, penalty, AVG(s) AS score FROM folds GROUP BY 1, 2)",
+    "chosen AS (SELECT * FROM mean QUALIFY row_number() OVER (PARTITION BY entity ORDER BY score, penalty DESC) = 1)",
+    net_fit("refit", "bl, pens", "entity"),
+    "best AS (SELECT refit.*, score FROM refit JOIN chosen USING (entity, penalty))",
+    f"scored AS (SELECT split.*, {net_of(1)} AS pred_j1, {net_of(2)} AS pred_j2 FROM split JOIN best USING (entity) WHERE day >= cutoff)",
+    long_metrics("scored", "entity", (1, 2)),
+    """every AS (SELECT entity, h, n, mae, mae_pct, r2 FROM long UNION ALL
+        SELECT entity, 0, MAX(n), AVG(mae), AVG(mae) / NULLIF(AVG(true_mean), 0) * 100, AVG(r2) FROM long GROUP BY 1)""",
+) + f"""SELECT entity, CAST(h AS INTEGER) AS h, n, {rs(['mae', 'mae_pct', 'r2', 'penalty', 'score'], 4)}, {r('u1', 'slope_1', 4)}, {r('v1', 'slope_7', 4)}
+FROM every JOIN best USING (entity)"""
+
+# With one standardised feature the net's slope is the correlation, cut by penalty * ratio and shrunk.
+_w = "sign(c{h}) * greatest(abs(c{h}) - penalty * ratio, 0) / (1 + penalty * (1 - ratio)) * sy{h} / sx"
+ORACLE["net_consensus"] = with_(
+    *NET_ROWS, "ratios(ratio) AS (VALUES (0.0::DOUBLE), (0.5::DOUBLE))",
+    """stats AS (SELECT entity, k, AVG(lag_7) AS mx, stddev_pop(lag_7) AS sx, """ + ", ".join(
+        f"corr(lag_7, target_j{h}) AS c{h}, stddev_pop(target_j{h}) AS sy{h}, AVG(target_j{h}) AS m{h}" for h in (1, 2)
+    ) + " FROM bl, generate_series(1, 3) t(k) WHERE block < k GROUP BY 1, 2)",
+    "fits AS (SELECT *, " + ", ".join(f"{_w.format(h=h)} AS w{h}" for h in (1, 2)) + " FROM stats, pens, ratios)",
+    """folds AS (SELECT bl.entity, k, penalty, ratio, AVG((abs(target_j1 - m1 - w1 * (lag_7 - mx)) + abs(target_j2 - m2 - w2 * (lag_7 - mx))) / 2) AS s
+        FROM bl JOIN fits ON fits.entity = bl.entity AND fits.k = bl.block GROUP BY 1, 2, 3, 4)""",
+    "mean AS (SELECT entity, penalty, ratio, AVG(s) AS score FROM folds GROUP BY 1, 2, 3)",
+    # Scores that differ by rounding alone count as equal; the first in the grid wins.
+    "chosen AS (SELECT * FROM mean QUALIFY row_number() OVER (PARTITION BY entity ORDER BY score, ratio, penalty DESC) = 1)",
+) + f"""SELECT 'penalty' AS name, {even('median(penalty)', 4)} AS value FROM chosen
+UNION ALL SELECT 'l1_ratio', {even('median(ratio)', 4)} FROM chosen"""
+
 # ---------------------------------------------------------------- streams
 
 ORACLE["stream_ingest"] = f"""

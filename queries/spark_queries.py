@@ -154,9 +154,8 @@ def exclude_window(spark, sf):
 
 @query
 def min_history(spark, sf):
-    """Entities with more than 40 days in the last year of data."""
-    recent = clean.from_day(i.panel(spark, sf), "2001-01-01", "day")
-    kept = clean.with_min_history(recent, 40, "entity")
+    """Entities with more than 530 days, which about half of them have."""
+    kept = clean.with_min_history(i.panel(spark, sf), 530, "entity")
     return kept.groupBy("entity").agg(F.count(F.lit(1)).alias("n_days"), F.sum("value").alias("total"))
 
 
@@ -460,7 +459,7 @@ def cluster_onehot(spark, sf):
     """Entity totals with the nation one-hot; entities of nation 3 have no cluster."""
     totals = i.panel(spark, sf).groupBy("entity").agg(F.sum("value").alias("total"))
     known = i.clusters(spark, sf).filter(F.col("cluster") != 3)
-    return features.one_hot(features.add_clusters(totals, known, COLS), [0, 1, 2, 3, 4])
+    return features.one_hot(features.add_clusters(totals, known, COLS), [k for k in range(25) if k != 3])
 
 
 @query
@@ -524,7 +523,7 @@ def prepared_matrix(spark, sf):
     base = i.panel(spark, sf).join(F.broadcast(i.calendar(spark)), "day", "left")
     base = features.add_clusters(base, i.clusters(spark, sf), COLS)
     rows, names, outputs = matrix.prepare_matrix(
-        base, (1, 7), (7,), 3, clusters=[1, 2], exclude_window=i.EXCLUDED, cols=COLS
+        base, (1, 7), (7,), 3, clusters=list(range(25)), exclude_window=i.EXCLUDED, cols=COLS
     )
     return rounded(rows.select("entity", "day", *names, *outputs))
 
@@ -560,7 +559,7 @@ def served_points(spark, sf):
     """Requested (entity, day) points found, or not found, among the served rows."""
     requests = i.table(spark, sf, "lineitem").select(
         F.col("l_suppkey").alias("entity"), F.col("l_shipdate").cast("date").alias("day")
-    ).filter(F.col("day") >= "2000-05-01").distinct()
+    ).distinct()
     served = windows.add_lags(i.panel(spark, sf), (1, 7), COLS)
     served = clean.from_day(served, i.CUTOFF, "day").select("entity", "day", "lag_1", "lag_7")
     found = joins.lookup_points(requests, served, ["entity", "day"])
@@ -797,6 +796,31 @@ def consensus_search(spark, sf):
     return metrics.consensus_params(found.select("entity", "name", "value"), config.WHOLE_NUMBER_PARAMS)
 
 
+NET_PENALTIES = [0.01, 0.3, 3.0]
+
+
+@query
+def net_search(spark, sf):
+    """Two features, three ridge penalties per entity: the choice, and the refit's held-out errors by horizon."""
+    choices, models, errors = workflows.search_refit(
+        _lagged(spark, sf), "entity", ["lag_1", "lag_7"], 2, NET_PENALTIES, cols=COLS
+    )
+    rows = errors.join(choices.drop("l1_ratio", "fold_scores"), "entity").join(
+        models.select("entity", F.col("coefficients")[0][1].alias("slope_1"), F.col("coefficients")[0][2].alias("slope_7")),
+        "entity",
+    )
+    return rounded(rows.drop("true_mean"), 4)
+
+
+@query
+def net_consensus(spark, sf):
+    """Medians over entities of the penalty and the l1 share that each one's search chose."""
+    choices, _, _ = workflows.search_refit(
+        _lagged(spark, sf), "entity", ["lag_7"], 2, NET_PENALTIES, [0.0, 0.5], cols=COLS
+    )
+    return workflows.consensus_choices(choices, "entity")
+
+
 @query
 def per_entity_ridge(spark, sf):
     """Multi-output ridge per entity on calendar and lag features, held-out errors."""

@@ -17,6 +17,20 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, functions as F
 
 FLUSH_GROUPS = 64
+#: Column and number of the shares that a group's rows are dealt into before they meet their model.
+SHARE, SHARES = "_share", 16
+
+
+def join_by_share(rows: DataFrame, models: DataFrame, keys: list[str], shares: int = SHARES) -> DataFrame:
+    """`rows` with their group's model, dealt by keys and share, which stays as a column.
+
+    Each model is repeated once per share and rows go to a share by a hash of
+    themselves, so the rows of one group are spread over `shares` tasks.
+    """
+    values = [F.col(c) for c in rows.columns]
+    dealt = rows.withColumn(SHARE, F.pmod(F.xxhash64(*values), F.lit(shares)).cast("int"))
+    spread = models.withColumn(SHARE, F.explode(F.sequence(F.lit(0), F.lit(shares - 1))))
+    return dealt.join(spread, [*keys, SHARE])
 
 
 def group_moments(
@@ -129,8 +143,11 @@ def fit_group_ridge(
 def predict_group_linear(
     df: DataFrame, models: DataFrame, group: str, features: list[str], horizon: int
 ) -> DataFrame:
-    """pred_j1..pred_jH of rows whose group has a model."""
-    joined = df.join(models.select(group, "coefficients"), group)
+    """pred_j1..pred_jH of rows whose group has a model.
+
+    Rows meet it by group and share, so that no task has a whole group.
+    """
+    joined = join_by_share(df, models.select(group, "coefficients"), [group]).drop(SHARE)
     return joined.withColumns(
         {
             f"pred_j{h}": linear_prediction(features, F.col("coefficients")[h - 1])
@@ -139,6 +156,26 @@ def predict_group_linear(
     ).drop("coefficients")
 
 
+def earlier_blocks(per_block: DataFrame, group: str, n_splits: int) -> DataFrame:
+    """Moments per block, once for each later block, whose split trains on them."""
+    return per_block.filter(F.col("block") < n_splits).select(
+        group,
+        F.explode(F.sequence(F.col("block") + 1, F.lit(n_splits))).alias("block"),
+        "moments",
+    )
+
+
+def mean_error(features: list[str], targets: list[str], coefficients: Column) -> Column:
+    """Mean over the targets of a row's absolute error under one choice's coefficients."""
+    parts = [
+        F.abs(F.col(t) - linear_prediction(features, coefficients[j])) for j, t in enumerate(targets)
+    ]
+    total = parts[0]
+    for part in parts[1:]:
+        total = total + part
+    return total / F.lit(float(len(targets)))
+
+
 def ridge_search(
     blocks: DataFrame,
     group: str,
@@ -154,27 +191,16 @@ def ridge_search(
     (group, block) once and reused by every split and penalty.
     """
     per_block = group_moments(blocks, [group, "block"], features, targets)
-    later = per_block.filter(F.col("block") < n_splits).select(
-        group,
-        F.explode(F.sequence(F.col("block") + 1, F.lit(n_splits))).alias("block"),
-        "moments",
-    )
+    later = earlier_blocks(per_block, group, n_splits)
     solved = solve_ridge(F.col("moments"), len(features), len(targets), alphas)
     fitted = sum_moments(later, [group, "block"]).select(group, "block", solved.alias("grid"))
-    rows = blocks.filter(F.col("block") > 0).join(fitted, [group, "block"])
-
-    def error(a: int) -> Column:
-        parts = [
-            F.abs(F.col(t) - linear_prediction(features, F.col("grid")[a][j]))
-            for j, t in enumerate(targets)
-        ]
-        total = parts[0]
-        for part in parts[1:]:
-            total = total + part
-        return total / F.lit(float(len(targets)))
-
-    fold_scores = rows.groupBy(group, "block").agg(
-        *[F.avg(error(a)).alias(f"_s{a}") for a in range(len(alphas))]
+    rows = join_by_share(blocks.filter(F.col("block") > 0), fitted, [group, "block"])
+    shared = rows.groupBy(group, "block", SHARE).agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.sum(mean_error(features, targets, F.col("grid")[a])).alias(f"_s{a}") for a in range(len(alphas))],
+    )
+    fold_scores = shared.groupBy(group, "block").agg(
+        *[(F.sum(f"_s{a}") / F.sum("n")).alias(f"_s{a}") for a in range(len(alphas))]
     )
     mean = fold_scores.groupBy(group).agg(*[F.avg(f"_s{a}").alias(f"_s{a}") for a in range(len(alphas))])
     listed = F.array_sort(

@@ -149,10 +149,24 @@ def add_clusters(df: DataFrame, clusters: DataFrame, cols: PanelCols = DEFAULT)
     return df.join(clusters.select(cols.entity, "cluster"), cols.entity, "left")
 
 
-def one_hot(df: DataFrame, values: list[int], column: str = "cluster") -> DataFrame:
-    """0/1 columns `column_k` for the given values, source column dropped; NULL is all 0."""
+def one_hot(df: DataFrame, values: list[int] | None = None, column: str = "cluster") -> DataFrame:
+    """0/1 columns `column_k`, source column dropped; NULL is all 0.
+
+    Without `values` all distinct values of the column get one, in ascending
+    order. With them, a value that is not listed is an error, since its row
+    would look like one without a value.
+    """
+    if values is None:
+        # The values become columns, so they are few.
+        rows = df.select(column).distinct().filter(F.col(column).isNotNull()).collect()
+        values = sorted(r[0] for r in rows)
+    unknown = F.raise_error(F.concat(F.lit(f"no column for {column} "), F.col(column).cast("string"))).cast("int")
     flags = {
-        f"{column}_{k}": F.coalesce(F.col(column) == k, F.lit(False)).cast("int") for k in values
+        f"{column}_{k}": F.when(F.col(column).isNull(), 0)
+        .when(F.col(column) == k, 1)
+        .when(F.col(column).isin(values), 0)
+        .otherwise(unknown)
+        for k in values
     }
     return df.withColumns(flags).drop(column)
 

@@ -40,7 +40,7 @@ def prepare_matrix(
     rolls=(),
     horizon: int = config.HORIZON,
     keep_id: bool = False,
-    clusters: list[int] | None = None,
+    clusters: list[int] | str | None = None,
     scale: bool = False,
     exclude_window=None,
     cols: PanelCols = DEFAULT,
@@ -48,12 +48,12 @@ def prepare_matrix(
     """Matrix rows of a featured panel with the names of its features and targets.
 
     Excluded days go before the shifts, so lags bridge the hole. `clusters`
-    lists the values to one-hot.
+    lists the values to one-hot, "all" takes all that occur.
     """
     out = clean.exclude_window(df, exclude_window, cols.day)
     out = windows.shift_features(out, lags, rolls, horizon, cols=cols)
     if clusters is not None and "cluster" in out.columns:
-        out = features.one_hot(out, clusters)
+        out = features.one_hot(out, None if clusters == "all" else clusters)
     names = feature_names(out, keep_id, cols)
     if scale:
         out = features.robust_scale(out, [c for c in config.SCALED_COLUMNS if c in names])

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidepanel.functions.quantiles import exact_quantiles
+from tidepanel.session import materialize
 
 
 def _r2(sse: Column, sst: Column, n: Column) -> Column:
@@ -86,6 +87,7 @@ def aggregate_metrics(per_entity: DataFrame, horizon: int) -> DataFrame:
     """One row of exact medians across entities, NULLs skipped, with counts."""
     pct = ["mae_pct"] + [f"mae_pct_j{h}" for h in range(1, horizon + 1)]
     columns = pct + ["r2"]
+    per_entity = materialize(per_entity.select(*columns), "errors")
     medians = exact_quantiles(per_entity, columns, [0.5])
     counts = per_entity.agg(
         F.count(F.lit(1)).alias("n_stations"),
@@ -110,6 +112,7 @@ def aggregate_metrics(per_entity: DataFrame, horizon: int) -> DataFrame:
 
 def results_summary(results: DataFrame) -> DataFrame:
     """Number of groups, mean and exact median of MAE and R2."""
+    results = materialize(results.select("mae", "r2"), "results")
     q = exact_quantiles(results, ["mae", "r2"], [0.5])
 
     def med(c):

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidepanel import config
 from tidepanel.columns import DEFAULT, PanelCols
-from tidepanel.models import linear, pooled
+from tidepanel.models import elastic_net, linear, pooled
 from tidepanel.operators import (
     baselines, clean, entities, features, joins, matrix, metrics, panel as panels, splits,
 )
@@ -189,6 +189,50 @@ def search_per_group(
     return linear.ridge_search(blocks, group, names, matrix.target_names(horizon), alphas, n_splits)
 
 
+def search_refit(
+    rows: DataFrame,
+    group: str,
+    names: list[str],
+    horizon: int,
+    penalties: list[float],
+    ratios: list[float] = (0.0,),
+    n_splits: int = 3,
+    test_size: float = config.TEST_SIZE,
+    cols: PanelCols = DEFAULT,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(choices, models, errors): search on each group's training days, refit, held-out errors.
+
+    Errors are long: the group, h from 1 to `horizon` and h 0 for the mean over
+    all horizons, with n, mae, mae_pct and r2. Split rows are written once and
+    read by the search, the refit and the errors.
+    """
+    cutoffs = splits.group_day_cutoffs(rows, group, test_size, cols.day)
+    narrow = rows.select(*dict.fromkeys([group, cols.entity, cols.day, *names, *matrix.target_names(horizon)]))
+    split = materialize(narrow.join(cutoffs, group), "search")
+    train = split.filter(F.col(cols.day) < F.col("cutoff")).drop("cutoff")
+    tie = cols.entity if group != cols.entity else cols.day
+    blocks = splits.ts_cv_blocks(splits.ordered_index(train, group, cols.day, tie), n_splits)
+    blocks = materialize(blocks, "blocks")
+    grid = elastic_net.net_grid(penalties, ratios)
+    choices, models = elastic_net.net_search(blocks, group, names, matrix.target_names(horizon), grid, n_splits)
+    models = materialize(models, "models")
+    test = split.filter(F.col(cols.day) >= F.col("cutoff"))
+    long = metrics.horizon_metrics(linear.predict_group_linear(test, models, group, names, horizon), group, horizon)
+    long = long.select(group, "h", "n", "mae", "true_mean", "mae_pct", "r2")
+    total = long.groupBy(group).agg(
+        F.max("n").alias("n"), F.avg("mae").alias("mae"), F.avg("true_mean").alias("true_mean"), F.avg("r2").alias("r2")
+    ).withColumn("h", F.lit(0)).withColumn("mae_pct", F.col("mae") / F.nullif(F.col("true_mean"), F.lit(0.0)) * 100)
+    return choices, models, long.unionByName(total)
+
+
+def consensus_choices(choices: DataFrame, group: str) -> DataFrame:
+    """(name, value): the median over groups of each parameter that a search chose."""
+    named = [F.struct(F.lit(c).alias("name"), F.col(c).alias("value")) for c in ("penalty", "l1_ratio")]
+    return metrics.consensus_params(
+        choices.select(group, F.inline(F.array(*named))), config.WHOLE_NUMBER_PARAMS
+    )
+
+
 def score_group(
     rows: DataFrame, models: DataFrame, group: str, names: list[str], horizon: int, cols: PanelCols = DEFAULT
 ) -> DataFrame:
