@@ -788,6 +788,32 @@ ORACLE["net_consensus"] = with_(
 ) + f"""SELECT 'penalty' AS name, {even('median(penalty)', 4)} AS value FROM chosen
 UNION ALL SELECT 'l1_ratio', {even('median(ratio)', 4)} FROM chosen"""
 
+FOLDS = [
+    *LAGGED,
+    f"""base AS (SELECT * FROM lagged WHERE day < DATE '{i.CUTOFF}' AND entity IN (SELECT entity FROM panel GROUP BY 1
+        HAVING COUNT(*) > 10 AND AVG(value) FILTER (day < DATE '{i.CUTOFF}') > 0))""",
+    "pre AS (SELECT day, row_number() OVER (ORDER BY day) - 1 AS idx, COUNT(*) OVER () AS n FROM (SELECT DISTINCT day FROM base))",
+    "sizes AS (SELECT DISTINCT n, CAST(trunc(n * 0.5::DOUBLE) AS BIGINT) AS s FROM pre)",
+    """edges AS (SELECT k, CASE WHEN k = 3 THEN n ELSE CAST(trunc(k * ((n - s)::DOUBLE / 3) + s) AS BIGINT) END AS e
+       FROM sizes, generate_series(0, 3) t(k))""",
+    """blocks AS (SELECT CAST(a.k + 1 AS INTEGER) AS fold, p.day AS v0, q.day AS v1 FROM edges a JOIN edges b ON b.k = a.k + 1
+       JOIN pre p ON p.idx = a.e JOIN pre q ON q.idx = b.e - 1)""",
+    "lv AS (SELECT fold, entity, AVG(value) AS lvl FROM panel JOIN blocks ON day < v0 GROUP BY 1, 2 HAVING AVG(value) > 0)",
+    """fr0 AS (SELECT base.*, fold, lvl, CASE WHEN day < v0 THEN 'train' ELSE 'validation' END AS role
+       FROM base JOIN blocks ON day <= v1 JOIN lv USING (fold, entity))""",
+    """fr AS (SELECT * REPLACE (lag_1 / lvl AS lag_1, lag_7 / lvl AS lag_7, target_j1 / lvl AS target_j1, target_j2 / lvl AS target_j2)
+       FROM fr0)""",
+]
+ORACLE["fold_levels"] = with_(*FOLDS) + f"""SELECT fold, role, entity, COUNT(*) AS n, {r('MAX(lvl)', 'lvl')}, MIN(day) AS first_day,
+  MAX(day) AS last_day, {r('AVG(lag_7)', 'mean_lag')} FROM fr GROUP BY 1, 2, 3"""
+ORACLE["tuning_scores"] = with_(
+    *FOLDS, "pens(config, penalty) AS (VALUES (0, 0.01::DOUBLE), (1, 0.3::DOUBLE), (2, 3.0::DOUBLE))",
+    net_fit("fits", "fr, pens WHERE role = 'train'", "fold, config"),
+    f"""err AS (SELECT config, fold, entity, (AVG(abs(target_j1 - ({net_of(1)})) * lvl) + AVG(abs(target_j2 - ({net_of(2)})) * lvl))
+          / (AVG(target_j1 * lvl) + AVG(target_j2 * lvl)) * 100 AS pct
+        FROM fr JOIN fits USING (fold) WHERE role = 'validation' GROUP BY 1, 2, 3)""",
+) + f"SELECT CAST(config AS INTEGER) AS config, fold, {r('median(pct)', 'score', 4)} FROM err GROUP BY 1, 2"
+
 # ---------------------------------------------------------------- streams
 
 ORACLE["stream_ingest"] = f"""

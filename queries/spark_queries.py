@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from queries import inputs as i
 from queries.inputs import COLS, HORIZON, rounded
 from tidepanel import config
-from tidepanel.models import clustering, linear, pooled
+from tidepanel.models import clustering, linear, pooled, tuning
 from tidepanel.operators import (
     baselines, clean, entities, features, joins, matrix, metrics, panel as panels, sequences, splits, windows,
 )
@@ -902,19 +902,41 @@ def pooled_eval(spark, sf):
 
 @query
 def random_search(spark, sf):
-    """Walk-forward scores of random pooled configurations.
+    """Walk-forward scores of random pooled configurations over all features; the best goes out.
 
-    A first matrix gives the folds; the one that is tuned has levels of the
-    days before the first validation day.
+    Trees are few and shallow here, see the README; every fold, feature and row is used.
     """
-    panel, days = i.panel(spark, sf), i.day_table(spark, sf)
-    probe = matrix.pooled_matrix(panel, days, i.CUTOFF, 1, (1, 7), (7,), cols=COLS)
-    folds = splits.walk_forward_folds(probe, i.CUTOFF, 2, 0.5, "day")
-    level_cutoff = folds.select("level_cutoff").first()[0]
-    rows = matrix.pooled_matrix(panel, days, level_cutoff, 1, (1, 7), (7,), cols=COLS)
     grid = {"n_estimators": [2], "max_depth": [2, 3], "learning_rate": [0.3]}
-    scores = pooled.tune_pooled(rows, MODEL_FEATURES, folds, grid, 2, 1, cols=COLS)
-    return pooled.best_config(scores)
+    scores = tuning.tune(
+        i.panel(spark, sf), i.day_table(spark, sf), i.CUTOFF, grid, 2, n_folds=2, keep=0.5, horizon=1,
+        exclude_window=i.EXCLUDED, cols=COLS,
+    )
+    return tuning.best_of(scores).select(
+        "config", "params", "score", F.array_min("fold_scores").alias("best_fold"), F.array_max("fold_scores").alias("worst_fold")
+    )
+
+
+@query
+def fold_levels(spark, sf):
+    """Rows and mean level of each entity in each walk-forward fold, by role."""
+    rows, _ = tuning.fold_matrix(
+        i.panel(spark, sf), i.day_table(spark, sf), i.CUTOFF, 3, 0.5, 2, (1, 7), (7,), False, cols=COLS
+    )
+    out = rows.groupBy("fold", "role", "entity").agg(
+        F.count(F.lit(1)).alias("n"), F.max("lvl").alias("lvl"), F.min("day").alias("first_day"),
+        F.max("day").alias("last_day"), F.avg("lag_7").alias("mean_lag"),
+    )
+    return rounded(out)
+
+
+@query
+def tuning_scores(spark, sf):
+    """Scores of three penalties in three folds: medians over entities of the percentage error."""
+    scores = tuning.tune(
+        i.panel(spark, sf), i.day_table(spark, sf), i.CUTOFF, {"penalty": NET_PENALTIES}, 3, tuning.net_learner,
+        horizon=2, lags=(1, 7), rolls=(7,), add_profiles=False, names=["lag_1", "lag_7"], cols=COLS,
+    )
+    return rounded(scores.drop("params"), 4)
 
 
 # ---------------------------------------------------------------- stores and streams
