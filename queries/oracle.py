@@ -762,7 +762,7 @@ ORACLE["net_search"] = with_(
     f"""folds AS (SELECT bl.entity, k, penalty, AVG((abs(target_j1 - ({net_of(1)})) + abs(target_j2 - ({net_of(2)}))) / 2) AS s
         FROM bl JOIN fits ON fits.entity = bl.entity AND fits.k = bl.block GROUP BY 1, 2, 3)""",
     "mean AS (SELECT entity, penalty, AVG(s) AS score FROM folds GROUP BY 1, 2)",
-    "chosen AS (SELECT * FROM mean QUALIFY row_number() OVER (PARTITION BY entity ORDER BY score, penalty DESC) = 1)",
+    "chosen AS (SELECT * FROM mean QUALIFY row_number() OVER (PARTITION BY entity ORDER BY round(score, 9), penalty DESC) = 1)",
     net_fit("refit", "bl, pens", "entity"),
     "best AS (SELECT refit.*, score FROM refit JOIN chosen USING (entity, penalty))",
     f"scored AS (SELECT split.*, {net_of(1)} AS pred_j1, {net_of(2)} AS pred_j2 FROM split JOIN best USING (entity) WHERE day >= cutoff)",
@@ -783,8 +783,8 @@ ORACLE["net_consensus"] = with_(
     """folds AS (SELECT bl.entity, k, penalty, ratio, AVG((abs(target_j1 - m1 - w1 * (lag_7 - mx)) + abs(target_j2 - m2 - w2 * (lag_7 - mx))) / 2) AS s
         FROM bl JOIN fits ON fits.entity = bl.entity AND fits.k = bl.block GROUP BY 1, 2, 3, 4)""",
     "mean AS (SELECT entity, penalty, ratio, AVG(s) AS score FROM folds GROUP BY 1, 2, 3)",
-    # Scores that differ by rounding alone count as equal; the first in the grid wins.
-    "chosen AS (SELECT * FROM mean QUALIFY row_number() OVER (PARTITION BY entity ORDER BY score, ratio, penalty DESC) = 1)",
+    # Scores that are equal to nine places count as equal; the first in the grid wins.
+    "chosen AS (SELECT * FROM mean QUALIFY row_number() OVER (PARTITION BY entity ORDER BY round(score, 9), ratio, penalty DESC) = 1)",
 ) + f"""SELECT 'penalty' AS name, {even('median(penalty)', 4)} AS value FROM chosen
 UNION ALL SELECT 'l1_ratio', {even('median(ratio)', 4)} FROM chosen"""
 
@@ -814,6 +814,28 @@ ORACLE["tuning_scores"] = with_(
         FROM fr JOIN fits USING (fold) WHERE role = 'validation' GROUP BY 1, 2, 3)""",
 ) + f"SELECT CAST(config AS INTEGER) AS config, fold, {r('median(pct)', 'score', 4)} FROM err GROUP BY 1, 2"
 
+# ---------------------------------------------------------------- stores
+
+ORACLE["results_store"] = with_(*NAIVE_EVAL, FLAT) + f"""
+SELECT 'station_j7_{i.TRAIN_FROM.replace('-', '')}_naive' AS run, flat.* FROM flat"""
+_log = f"""SELECT {{label}} AS label, {{notes}} AS notes, CAST({{delta}} AS DOUBLE) AS delta_vs_baseline_pct, COUNT(*) AS n_stations,
+  COUNT(*) FILTER (r2 < 0) AS n_r2_neg, {even('median(mae_pct)', 2)} AS mae_pct_median, {even('median(r2)', 4)} AS r2_median,
+  {', '.join(f'{even(f"median({c})", 2)} AS {c}' for c in PCTS)} FROM per WHERE {{rows}}"""
+ORACLE["experiment_log"] = with_(*NAIVE_EVAL, per_entity("entity")) + " UNION ALL ".join([
+    _log.format(label="'naive'", notes="'all entities'", delta="0", rows="true"),
+    _log.format(label="'naive even'", notes="''", delta="NULL", rows="entity % 2 = 0"),
+])
+ORACLE["sample_store"] = "SELECT entity FROM (" + ORACLE["stratified_sample"] + ")"
+ORACLE["params_store"] = ORACLE["net_consensus"].split("SELECT 'penalty' AS name")[0] + f"""
+SELECT entity, {rs(['penalty'], 4)}, {r('ratio', 'l1_ratio', 4)}, {rs(['score'], 4)},
+  {r(even('(SELECT median(penalty) FROM chosen)', 4), 'consensus_penalty', 4)},
+  {r(even('(SELECT median(ratio) FROM chosen)', 4), 'consensus_ratio', 4)},
+  1.5::DOUBLE AS mean_score, 2.0::DOUBLE AS last_fold FROM chosen"""
+ORACLE["group_model_store"] = with_(
+    *LAGGED, NATIONS, "lc AS (SELECT lagged.*, cluster FROM lagged JOIN nations USING (entity))", ridge_models("lc", "cluster", 10),
+    f"scored AS (SELECT lc.*, {PREDICT} FROM lc JOIN models USING (cluster) WHERE cluster = 5)",
+) + f"SELECT cluster, entity, COUNT(*) AS n, {r('AVG(pred_j1)', 'mean_1', 4)}, {r('AVG(pred_j2)', 'mean_2', 4)} FROM scored GROUP BY 1, 2"
+
 # ---------------------------------------------------------------- streams
 
 ORACLE["stream_ingest"] = f"""

@@ -850,23 +850,24 @@ def ridge_search(spark, sf):
 @query
 def kmeans_clusters(spark, sf):
     flagged = i.panel(spark, sf).join(F.broadcast(i.calendar(spark)), "day", "left")
-    return clustering.cluster_entities(flagged, 4, 42, 3, COLS)
+    return clustering.cluster_entities(flagged, config.N_CLUSTERS, config.SAMPLE_SEED, cols=COLS)
 
 
+# Few and shallow trees; all features, horizons and rows. See the README.
 SMALL_TREES = {"n_estimators": 3, "max_depth": 3, "learning_rate": 0.3, "subsample": 0.8}
-MODEL_FEATURES = ["lag_1", "lag_7", "roll_7", "jour_semaine", "mois", "IS_WEEKEND", "log_vald", "cv"]
 
 
-def _bundle(spark, sf, horizon=2):
+def _bundle(spark, sf, horizon=HORIZON):
     day_table = i.day_table(spark, sf)
     rows = matrix.pooled_matrix(
-        i.panel(spark, sf), day_table, i.CUTOFF, horizon, (1, 7), (7,), exclude_window=i.EXCLUDED, cols=COLS
+        i.panel(spark, sf), day_table, i.CUTOFF, horizon, exclude_window=i.EXCLUDED, cols=COLS
     )
+    rows = materialize(rows, "pooled")
     kept = clean.exclude_window(i.panel(spark, sf), i.EXCLUDED, "day")
     flagged = kept.join(F.broadcast(i.calendar(spark)), "day", "left")
     levels, profiles = features.levels_profiles(flagged, i.CUTOFF, COLS)
     bundle = pooled.train_pooled(
-        rows, MODEL_FEATURES, SMALL_TREES, horizon, levels, profiles, i.CUTOFF, (1, 7), (7,), cols=COLS
+        rows, matrix.pooled_feature_names(), SMALL_TREES, horizon, levels, profiles, i.CUTOFF, cols=COLS
     )
     return rows, bundle
 
@@ -892,12 +893,13 @@ def holdout_eval(spark, sf):
 
 @query
 def pooled_eval(spark, sf):
-    """Pooled model fitted before the cutoff and measured after it, against the naive forecast."""
-    rows = matrix.pooled_matrix(
-        i.panel(spark, sf), i.day_table(spark, sf), i.CUTOFF, 1, (1, 7), (7,), exclude_window=i.EXCLUDED, cols=COLS
+    """Pooled model fitted on the first four fifths of the days and measured on the rest, against the naive forecast."""
+    scored = workflows.evaluate_by_share(
+        i.panel(spark, sf), i.day_table(spark, sf), SMALL_TREES, exclude_window=i.EXCLUDED, cols=COLS
+    )
+    return workflows.evaluate_against_baseline(
+        materialize(scored, "scored"), i.panel(spark, sf), HORIZON, config.LAGS, config.ROLLS, COLS
     )
-    scored = pooled.evaluate_pooled(rows, MODEL_FEATURES, SMALL_TREES, 1, i.CUTOFF, cols=COLS)
-    return workflows.evaluate_against_baseline(scored, i.panel(spark, sf), 1, (1, 7), (7,), COLS)
 
 
 @query
@@ -959,6 +961,72 @@ def feature_lookup(spark, sf):
     return source.load_features(spark, path, list(i.LOOKED_UP), "entity")
 
 
+@query
+def results_store(spark, sf):
+    """Baseline results published twice under their run name; the current version read back."""
+    flat = materialize(baselines.flat_baseline(_naive(spark, sf), "entity", HORIZON), "flat")
+    base = sink.run_path(scratch_path(spark, "results"), "station", HORIZON, i.TRAIN_FROM, "naive")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in flat.schema)
+    sink.publish(spark, base, lambda path: flat.limit(0).write.csv(path, header=True), "empty")
+    sink.publish(spark, base, lambda path: flat.write.csv(path, header=True), "whole")
+    stored = source.load_results(spark, source.current_path(spark, base), schema)
+    return rounded(stored.withColumn("run", F.lit(base.rsplit("/", 1)[1])))
+
+
+@query
+def experiment_log(spark, sf):
+    """Two logged evaluations read back, without their times."""
+    per = materialize(metrics.entity_metrics(_naive(spark, sf), "entity", HORIZON), "errors")
+    path = scratch_path(spark, "log")
+    sink.log_experiment(metrics.aggregate_metrics(per, HORIZON), path, "naive", "all entities", 0.0, HORIZON)
+    even = per.filter(F.col("entity") % 2 == 0)
+    sink.log_experiment(metrics.aggregate_metrics(even, HORIZON), path, "naive even", "", None, HORIZON)
+    return spark.read.parquet(path).drop("timestamp")
+
+
+@query
+def sample_store(spark, sf):
+    """A stratified sample stored as an artifact and read back."""
+    sample = splits.stratified_sample(i.clusters(spark, sf), 2, 42, "entity", "cluster")
+    base = scratch_path(spark, "sample")
+    sink.publish(spark, base, lambda path: sink.save_sample(sample, path, "entity", n_per_cluster=2, seed=42))
+    return source.load_sample(spark, source.current_path(spark, base)).withColumnRenamed("ID_LIEU", "entity")
+
+
+@query
+def params_store(spark, sf):
+    """The choices of a search and their consensus, published as an artifact and read back."""
+    choices, _, _ = workflows.search_refit(
+        _lagged(spark, sf), "entity", ["lag_7"], 2, NET_PENALTIES, [0.0, 0.5], cols=COLS
+    )
+    choices = materialize(choices, "choices")
+    base = scratch_path(spark, "params")
+    sink.publish(spark, base, lambda path: sink.save_params(
+        workflows.consensus_choices(choices, "entity"), path, 1.5, [1.0, 2.0], choices, horizon=2
+    ))
+    path = source.current_path(spark, base)
+    found = source.load_params(spark, path)
+    score, folds = source.load_scores(spark, path)
+    return rounded(source.load_choices(spark, path).select(
+        "entity", "penalty", "l1_ratio", "score", F.lit(found["penalty"]).alias("consensus_penalty"),
+        F.lit(found["l1_ratio"]).alias("consensus_ratio"), F.lit(score).alias("mean_score"), F.lit(folds[1]).alias("last_fold"),
+    ), 4)
+
+
+@query
+def group_model_store(spark, sf):
+    """Ridge models of all nations stored; the forecasts of one read model, by entity."""
+    rows = _lagged(spark, sf).join(i.clusters(spark, sf), "entity")
+    fitted = linear.fit_group_ridge(rows, "cluster", ["lag_7"], ["target_j1", "target_j2"], 10.0)
+    base = scratch_path(spark, "models")
+    sink.publish(spark, base, lambda path: sink.save_group_models(fitted, path))
+    one = source.load_group_models(spark, source.current_path(spark, base), "cluster", 5)
+    scored = linear.predict_group_linear(rows, one, "cluster", ["lag_7"], 2)
+    return rounded(scored.groupBy("cluster", "entity").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("pred_j1").alias("mean_1"), F.avg("pred_j2").alias("mean_2")
+    ), 4)
+
+
 @query
 def raw_files_daily(spark, sf):
     """Facts written as raw files of three formats, detected, read and aggregated."""

@@ -224,3 +224,40 @@ def test_parts_of_a_folder_may_order_their_columns_differently(spark, tmp_path):
     empty.mkdir()
     with pytest.raises(ValueError, match="no valid format"):
         files.require_formats(files.detect_formats(spark, [str(empty)]))
+
+
+def test_published_versions_are_whole_and_kept(spark, tmp_path):
+    base = str(tmp_path / "store")
+    with pytest.raises(FileNotFoundError):
+        source.current_path(spark, base)
+
+    def numbers(n):
+        return lambda path: spark.range(n).write.parquet(path)
+
+    def broken(path):
+        spark.range(9).write.parquet(path)
+        raise RuntimeError("lost")
+
+    first = sink.publish(spark, base, numbers(3), "first")
+    assert source.current_path(spark, base) == first and spark.read.parquet(first).count() == 3
+    with pytest.raises(RuntimeError):
+        sink.publish(spark, base, broken)
+    assert source.current_path(spark, base) == first
+    second = sink.publish(spark, base, numbers(5))
+    assert source.current_path(spark, base) == second != first
+    # A reader that holds the older path still reads it.
+    assert spark.read.parquet(first).count() == 3
+    assert [r["note"] for r in source.published(spark, base).collect()] == ["first", ""]
+
+
+def test_artifacts_keep_fold_scores_and_choices(spark, tmp_path):
+    params = spark.createDataFrame([("penalty", 0.3)], "name string, value double")
+    choices = spark.createDataFrame([(1, 0.3), (2, 0.1)], "entity int, penalty double")
+    path = str(tmp_path / "artifact")
+    sink.save_params(params, path, 1.25, [1.0, 1.5], choices, seed=1)
+    assert source.load_params(spark, path) == {"penalty": 0.3}
+    assert source.load_scores(spark, path) == (1.25, [1.0, 1.5])
+    assert sorted(map(tuple, source.load_choices(spark, path).collect())) == [(1, 0.3), (2, 0.1)]
+    bare = str(tmp_path / "bare")
+    sink.save_params(params, bare)
+    assert source.load_scores(spark, bare) == (None, None)

@@ -88,8 +88,8 @@ def net_search(
 
     `blocks` are training rows with a `block` from splits.ts_cv_blocks. Choices
     have the group, penalty, l1_ratio, score (mean over the splits of the mean
-    absolute error over all targets) and the scores by split; of equal scores
-    the first in the grid wins. Models are refitted on all blocks. Groups with
+    absolute error over all targets) and the scores by split; of scores that are
+    equal to nine places the first in the grid wins. Models are refitted on all blocks. Groups with
     an empty split have no choice and no model.
     """
     p, h = len(features), len(targets)
@@ -110,7 +110,9 @@ def net_search(
     def mean_of_folds(choice: int) -> Column:
         return F.aggregate("folds", F.lit(0.0), lambda total, fold: total + fold["errors"][choice]) / n_splits
 
-    scores = [F.struct(mean_of_folds(g).alias("score"), F.lit(g).alias("choice")) for g in range(len(grid))]
+    scores = [
+        F.struct(F.round(mean_of_folds(g), 9).alias("score"), F.lit(g).alias("choice")) for g in range(len(grid))
+    ]
     scored = per_group.select(group, "folds", F.array_min(F.array(*scores)).alias("best"))
     pairs = F.array(*[F.struct(F.lit(x).alias("penalty"), F.lit(r).alias("l1_ratio")) for x, r in grid])
     chosen = scored.select(

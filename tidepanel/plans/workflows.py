@@ -131,6 +131,38 @@ def evaluate_per_entity(
     return metrics.ranked(report, "mae_pct", "station_id")
 
 
+def evaluate_by_share(
+    panel: DataFrame,
+    day_table: DataFrame,
+    params: dict = config.POOLED_PARAMS,
+    test_size: float = config.TEST_SIZE,
+    horizon: int = config.HORIZON,
+    lags=config.LAGS,
+    rolls=config.ROLLS,
+    normalize: bool = True,
+    add_profiles: bool = True,
+    exclude_window=config.EXCLUDE_WINDOW,
+    cols: PanelCols = DEFAULT,
+) -> DataFrame:
+    """Errors per entity on the last `test_size` of the matrix's days, levels and profiles from the days before.
+
+    The days of the matrix don't depend on the cutoff, so a bare matrix gives
+    them first. Without `normalize` features and targets stay absolute, without
+    `add_profiles` the profiles are left out.
+    """
+    last = panel.agg(F.date_add(F.max(cols.day), 1)).first()[0]
+    bare = matrix.pooled_matrix(
+        panel, day_table, last, horizon, lags, rolls, normalize=False, add_profiles=False,
+        exclude_window=exclude_window, cols=cols,
+    )
+    cutoff = splits.day_cutoff(bare.select(cols.day), test_size, cols.day).first()[0]
+    rows = matrix.pooled_matrix(
+        panel, day_table, cutoff, horizon, lags, rolls, normalize, add_profiles, exclude_window, cols=cols
+    )
+    names = matrix.pooled_feature_names(lags, rolls, add_profiles)
+    return pooled.evaluate_pooled(materialize(rows, "pooled"), names, params, horizon, cutoff, by_level=normalize, cols=cols)
+
+
 def evaluate_against_baseline(
     model_metrics: DataFrame, panel: DataFrame, horizon: int, lags=(), rolls=(), cols: PanelCols = DEFAULT
 ) -> DataFrame:
