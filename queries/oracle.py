@@ -844,3 +844,5 @@ SELECT CAST(ts AS DATE) AS day, event_type, COUNT(*) AS n, {r('SUM(value)', 'tot
 ORACLE["stream_daily_totals"] = f"""
 SELECT CAST(ts AS DATE) AS day, event_type, {r('SUM(value)', 'value', 4)}, COUNT(*) AS n FROM events
 GROUP BY 1, 2 HAVING CAST(ts AS DATE) + INTERVAL 1 DAY <= (SELECT MAX(ts) - INTERVAL 7 DAY FROM events)"""
+ORACLE["stream_upserts"] = f"""
+SELECT CAST(ts AS DATE) AS day, event_type AS entity, {r('SUM(value)', 'value', 4)}, COUNT(*) AS n FROM events GROUP BY 1, 2"""

@@ -1077,3 +1077,19 @@ def stream_daily_totals(spark, sf):
     )
     closed = spark.read.schema("day date, event_type string, value double, n bigint").parquet(f"{base}/days")
     return rounded(closed, 4)
+
+
+@query
+def stream_upserts(spark, sf):
+    """Daily totals of events that arrive out of order in four batches, compacted on the way."""
+    events = i.table(spark, sf, "events")
+    base = scratch_path(spark, "upserts")
+    for turn in range(2):
+        part = events.filter(F.pmod("event_id", F.lit(2)) == turn)
+        part.repartition(2, "event_id").write.mode("append").parquet(f"{base}/source")
+        ingest.run_upserts(
+            spark, f"{base}/source", f"{base}/totals", f"{base}/checkpoint", events.schema, "ts", "event_type", "value",
+            files_per_batch=1,
+        )
+        ingest.compact_totals(spark, f"{base}/totals") if turn == 0 else None
+    return rounded(ingest.upserted_totals(spark, f"{base}/totals"), 4)

@@ -261,3 +261,40 @@ def test_artifacts_keep_fold_scores_and_choices(spark, tmp_path):
     bare = str(tmp_path / "bare")
     sink.save_params(params, bare)
     assert source.load_scores(spark, bare) == (None, None)
+
+
+def test_parts_of_one_folder_are_sniffed_by_many_tasks(spark, tmp_path):
+    folder = tmp_path / "2020-S1-validations.csv"
+    folder.mkdir()
+    for part in range(200):
+        (folder / f"part-{part}.csv").write_text("JOUR;CODE_STIF_TRNS;CODE_STIF_RES;CODE_STIF_ARRET;LIBELLE_ARRET;CATEGORIE_TITRE;NB_VALD\n")
+    found = files.detect_formats(spark, [str(folder)])
+    assert found.count() == 200
+    tasks = found.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(tasks) >= 8 and max(r["count"] for r in tasks) < 50
+    formats = files.require_formats(files.detect_formats(spark, [str(folder)]))
+    assert len(formats) == 1 and len(formats[0]["paths"]) == 200
+
+
+def test_replayed_and_late_batches_give_the_batch_aggregate(spark, tmp_path):
+    target = str(tmp_path / "totals")
+    kind = "ts timestamp, kind string, value double"
+
+    def batch(*rows):
+        return spark.createDataFrame([(dt.datetime(2024, m, d, 5), k, v) for m, d, k, v in rows], kind)
+
+    first = batch((3, 1, "a", 1.0), (3, 20, "a", 2.0))
+    second = batch((3, 2, "a", 4.0), (3, 20, "b", 8.0), (3, 14, "a", 1.5))  # the first row's day was closed
+    for rows, number in ((first, 0), (second, 1), (second, 1), (first, 0), (second, 1)):
+        ingest.upsert_batch(rows, number, target, "ts", "kind", "value")
+    whole = {(r["day"].isoformat(), r["entity"]): (r["value"], r["n"]) for r in ingest.upserted_totals(spark, target).collect()}
+    want = {("2024-03-01", "a"): (1.0, 1), ("2024-03-20", "a"): (2.0, 1), ("2024-03-02", "a"): (4.0, 1),
+            ("2024-03-20", "b"): (8.0, 1), ("2024-03-14", "a"): (1.5, 1)}
+    assert whole == want
+    assert [(r["value"], r["batch"]) for r in ingest.late_rows(spark, target).collect()] == [(4.0, 1)]
+    ingest.compact_totals(spark, target)
+    ingest.upsert_batch(batch((3, 1, "a", 10.0)), 2, target, "ts", "kind", "value")
+    again = {(r["day"].isoformat(), r["entity"]): (r["value"], r["n"]) for r in ingest.upserted_totals(spark, target).collect()}
+    assert again == {**want, ("2024-03-01", "a"): (11.0, 2)}
+    ingest.compact_totals(spark, target)
+    assert ingest.upserted_totals(spark, target).count() == len(want)

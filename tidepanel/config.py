@@ -10,12 +10,19 @@ SEPARATORS = ["\t", ";"]
 FILE_KIND = "validations"
 
 # Fixed values: (year, period, extension) of every raw file.
-FILE_MANIFEST = (
-    [(2015, p, "csv") for p in ("S1", "S2")]
-    + [(y, p, "txt") for y in range(2016, 2024) for p in ("S1", "S2")]
-    + [(2024, p, "txt") for p in ("S1", "T3", "T4")]
-    + [(2025, p, "csv") for p in ("T1", "T2", "T3", "T4")]
-)
+FILE_MANIFEST = [
+    (2015, "S1", "csv"), (2015, "S2", "csv"),
+    (2016, "S1", "txt"), (2016, "S2", "txt"),
+    (2017, "S1", "txt"), (2017, "S2", "txt"),
+    (2018, "S1", "txt"), (2018, "S2", "txt"),
+    (2019, "S1", "txt"), (2019, "S2", "txt"),
+    (2020, "S1", "txt"), (2020, "S2", "txt"),
+    (2021, "S1", "txt"), (2021, "S2", "txt"),
+    (2022, "S1", "txt"), (2022, "S2", "txt"),
+    (2023, "S1", "txt"), (2023, "S2", "txt"),
+    (2024, "S1", "txt"), (2024, "T3", "txt"), (2024, "T4", "txt"),
+    (2025, "T1", "csv"), (2025, "T2", "csv"), (2025, "T3", "csv"), (2025, "T4", "csv"),
+]
 
 # Raw columns.
 REQUIRED_COLUMNS = [
@@ -59,7 +66,6 @@ HUB_ID_BASE = -1000
 
 # Time bounds.
 TRAIN_FROM = "2015-01-01"
-EVAL_TRAIN_FROM = "2023-01-01"
 EXCLUDE_WINDOW = ("2020-01-01", "2023-01-01")
 DEPLOY_CUTOFF = "2025-05-26"
 CALENDAR_YEARS = (2015, 2026)
@@ -104,17 +110,15 @@ MIN_GROUP_ROWS = 50
 
 # Sequence model settings.
 PAST_LENGTH = 140
-FUTURE_LENGTH = 7
 FOLD_LENGTH = 3 * 365
 FOLD_STRIDE = 91
 TRAIN_RATIO = 0.66
-N_TRAIN_SAMPLES = 5000
 
-# Search grids (per-entity and pooled) and whole-number parameters.
-PER_ENTITY_GRID = {
-    "n_estimators": [300, 500, 800, 1000],
-    "max_depth": [3, 4, 5, 6],
-    "learning_rate": [0.01, 0.02, 0.03, 0.05, 0.08],
+# Search grid of the pooled model, and whole-number parameters.
+POOLED_GRID = {
+    "n_estimators": [300, 500, 800, 1200],
+    "max_depth": [6, 8, 10, 12],
+    "learning_rate": [0.02, 0.03, 0.05, 0.08, 0.1],
     "subsample": [0.6, 0.7, 0.8, 0.9, 1.0],
     "colsample_bytree": [0.6, 0.7, 0.8, 0.9, 1.0],
     "min_child_weight": [1, 3, 5, 7, 10],
@@ -122,12 +126,6 @@ PER_ENTITY_GRID = {
     "reg_alpha": [0, 0.1, 0.5, 1.0],
     "reg_lambda": [0.5, 1.0, 1.5, 2.0, 3.0],
 }
-POOLED_GRID = {
-    **PER_ENTITY_GRID,
-    "n_estimators": [300, 500, 800, 1200],
-    "max_depth": [6, 8, 10, 12],
-    "learning_rate": [0.02, 0.03, 0.05, 0.08, 0.1],
-}
 WHOLE_NUMBER_PARAMS = ["n_estimators", "max_depth", "min_child_weight"]
 
 # Frozen parameters of the pooled model.
@@ -136,9 +134,3 @@ POOLED_PARAMS = {
     "subsample": 0.7, "colsample_bytree": 1.0, "min_child_weight": 1,
     "gamma": 0.5, "reg_alpha": 0.1, "reg_lambda": 3.0,
 }
-# Frozen parameters of the per-entity model.
-PER_ENTITY_PARAMS = {
-    "n_estimators": 800, "max_depth": 4, "learning_rate": 0.01,
-    "subsample": 0.9, "colsample_bytree": 0.75, "min_child_weight": 7,
-    "gamma": 0.1, "reg_alpha": 0.5, "reg_lambda": 1.25,
-}

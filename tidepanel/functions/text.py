@@ -96,9 +96,13 @@ def strip_accents(text: Column) -> Column:
     return strip(text)
 
 
+# Fixed value: suffixes of labels that name a line.
+LINE_SUFFIX = r"(?U)\b(t\d{1,2}|rer\s*[a-e])\b"
+
+
 def label_key(label: Column) -> Column:
     """Comparison key: no accents, lower case, no line suffix, no punctuation."""
     plain = F.lower(strip_accents(label))
-    no_line = F.regexp_replace(plain, r"(?U)\b(t\d{1,2}|rer\s*[a-e])\b", " ")
+    no_line = F.regexp_replace(plain, LINE_SUFFIX, " ")
     words = F.regexp_replace(no_line, r"(?U)[^\w\s]", " ")
     return F.coalesce(F.trim(F.regexp_replace(words, BLANK + "+", " ")), F.lit(""))

@@ -171,7 +171,8 @@ def fold_scores(predictions: DataFrame, horizon: int, cols: PanelCols = DEFAULT)
 
 
 def tune(
-    panel: DataFrame, day_table: DataFrame, test_cutoff, grid: dict[str, list], n_iter: int, learner: Learner = tree_learner,
+    panel: DataFrame, day_table: DataFrame, test_cutoff, grid: dict[str, list] = config.POOLED_GRID, n_iter: int = 30,
+    learner: Learner = tree_learner,
     n_folds: int = 3, min_train_frac: float = 0.5, keep: float = 1.0, horizon: int = config.HORIZON, lags=config.LAGS,
     rolls=config.ROLLS, add_profiles: bool = True, exclude_window=None, names: list[str] | None = None,
     seed: int = config.SAMPLE_SEED, cols: PanelCols = DEFAULT,

@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidepanel import config
+from tidepanel.session import materialize
 
 HEAD_BYTES = 65_536
 # Spark's reader names of the detected encodings (the UTF-8 reader drops a BOM).
@@ -56,34 +57,47 @@ def detect_formats(
 
     The first combination whose header holds the required columns wins, with
     encodings tried before separators. Undecodable bytes are replaced and do
-    not reject an encoding, unless `strict_decoding` is set. Each file is
-    opened in a task and only its first bytes are read, however long it is. A
+    not reject an encoding, unless `strict_decoding` is set. Folders are listed
+    in tasks, then the files found are dealt out anew, so the parts of one folder
+    are opened by many tasks; only the first bytes of each are read. A
     path may also be a folder: each of its parts that is not empty has a row of
     its own, since parts may differ in format and order of columns.
     """
     need, encs, seps, strict, size = set(required), encodings, separators, strict_decoding, HEAD_BYTES
 
-    def sniff(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import csv
+    def opened(path):
         import re
 
         from pyarrow import fs
 
-        def heads_of(path):
-            where, inner = fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", path))
-            info = where.get_file_info(inner)
-            files = [(path, inner)]
-            if info.type == fs.FileType.Directory:
-                parts = where.get_file_info(fs.FileSelector(inner))
-                files = sorted(
-                    (f"{path.rstrip('/')}/{p.base_name}", p.path) for p in parts
-                    if p.size and not p.base_name.startswith(("_", "."))
-                )
-            for name, inner in files:
-                with where.open_input_stream(inner) as stream:
-                    yield name, stream.read(size)
-            if not files:
-                yield path, b""
+        return fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", path))
+
+    def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        def files_of(path):
+            where, inner = opened(path)
+            if where.get_file_info(inner).type != fs.FileType.Directory:
+                return [(path, True)]
+            parts = where.get_file_info(fs.FileSelector(inner))
+            found = [
+                (f"{path.rstrip('/')}/{p.base_name}", True) for p in parts
+                if p.size and not p.base_name.startswith(("_", "."))
+            ]
+            return found or [(path, False)]
+
+        for batch in batches:
+            yield pd.DataFrame([f for p in batch["path"] for f in files_of(p)], columns=["path", "there"])
+
+    def sniff(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import csv
+
+        def head_of(path, there):
+            if not there:
+                return b""
+            where, inner = opened(path)
+            with where.open_input_stream(inner) as stream:
+                return stream.read(size)
 
         def decode(head, enc):
             if not strict:
@@ -105,24 +119,26 @@ def detect_formats(
             return None, None, None
 
         for batch in batches:
-            found = [(name, *fit(head)) for p in batch["path"] for name, head in heads_of(p)]
+            found = [(p, *fit(head_of(p, there))) for p, there in zip(batch["path"], batch["there"])]
             yield pd.DataFrame(found, columns=["path", "encoding", "separator", "header"])
 
-    listed = spark.createDataFrame([(p,) for p in paths], "path string")
-    # One file per task at most: opening files is latency, not data.
-    spread = listed.repartition(max(1, min(len(paths), 1000)), "path")
-    return spread.mapInPandas(
+    # Opening files is latency, not data: some per task.
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    named = spark.createDataFrame([(p,) for p in paths], "path string").repartition(max(1, min(len(paths), tasks)))
+    found = named.mapInPandas(listed, "path string, there boolean").repartition(tasks)
+    return found.mapInPandas(
         sniff, "path string, encoding string, separator string, header array<string>"
     )
 
 
 def require_formats(formats: DataFrame) -> list:
-    """The detected formats as rows (one per file); a file without one is an error."""
-    rows = formats.collect()
-    unknown = sorted(r["path"] for r in rows if r["encoding"] is None)
+    """The distinct formats with the paths of their files; a file without one is an error."""
+    formats = materialize(formats, "formats")
+    unknown = [r["path"] for r in formats.filter(F.col("encoding").isNull()).select("path").limit(100).collect()]
     if unknown:
-        raise ValueError(f"no valid format for: {unknown}")
-    return sorted(rows, key=lambda r: r["path"])
+        raise ValueError(f"no valid format for: {sorted(unknown)}")
+    alike = formats.groupBy("encoding", "separator", "header").agg(F.sort_array(F.collect_list("path")).alias("paths"))
+    return sorted(alike.collect(), key=lambda r: r["paths"])
 
 
 def read_files(
@@ -161,16 +177,11 @@ def load_source(
     unites the frames under one name. Thousands of files still make only a
     handful of scans.
     """
-    alike = {}
-    for row in formats:
-        alike.setdefault((row["encoding"], row["separator"], tuple(row["header"])), []).append(
-            row["path"]
-        )
     # The file itself or, for a folder of parts, its folder carries the name.
     pattern = r"(\d{4})-([A-Z]\d+)-[^/]*(?:/[^/]*)?$"
     frames = []
-    for (encoding, separator, header), paths in alike.items():
-        df = read_files(spark, paths, encoding, separator, required, list(header))
+    for row in formats:
+        df = read_files(spark, row["paths"], row["encoding"], row["separator"], required, row["header"])
         source = F.col("_metadata.file_path")
         frames.append(
             df.select(
