@@ -610,7 +610,7 @@ ORACLE["compare_baseline"] = with_(
 
 # ---------------------------------------------------------------- sequences
 
-NS, PAST, FUT, SEED = 20, 14, 7, 11
+NS, PAST, FUT, SEED, SHORT = 500, config.PAST_LENGTH, 7, 11, 14
 START = "CAST(('0x' || substr(md5(CAST(sample AS VARCHAR) || '-{seed}'), 1, 8))::BIGINT % {choices} AS INTEGER)"
 
 
@@ -624,8 +624,9 @@ dense AS (SELECT e.entity, d.idx, {value} AS v FROM ents e CROSS JOIN didx d
 samp AS (SELECT CAST(sample AS INTEGER) AS sample, {START.format(seed=SEED, choices=f'(SELECT MAX(n) - {PAST + FUT} + 1 FROM didx)')} AS start
          FROM generate_series(0, {NS - 1}) t(sample)),
 win AS (SELECT entity, sample, start, idx - start AS pos, v FROM samp JOIN dense ON idx >= start AND idx < start + {PAST + FUT}),
-pairs_h AS (SELECT y.entity, y.sample, CAST(y.pos - {PAST} + 1 AS INTEGER) AS h, y.v AS y, p.v AS p
-            FROM win y JOIN win p ON p.entity = y.entity AND p.sample = y.sample AND p.pos = y.pos - 7 WHERE y.pos >= {PAST})"""
+pairs_h AS (SELECT y.entity, sample, CAST(h AS INTEGER) AS h, y.v AS y, p.v AS p
+            FROM (SELECT sample, h, start + {PAST} + h - 1 AS idx FROM samp, generate_series(1, {FUT}) t(h)) w
+            JOIN dense y ON y.idx = w.idx JOIN dense p ON p.entity = y.entity AND p.idx = y.idx - 7)"""
 
 
 ORACLE["sequence_windows"] = with_(PANEL, series(True)) + f"""
@@ -641,17 +642,22 @@ ORACLE["sequence_score"] = with_(PANEL, series(True), LOGERR) + \
 ORACLE["entity_error_table"] = with_(PANEL, series(True), LOGERR, "v AS (SELECT entity, AVG(value) AS mean_value FROM panel GROUP BY 1)") + f"""
 SELECT entity, {r('mean_value', 'mean_value')}, {r('mae', 'mae_j1')}, {r('mae / mean_value * 100', 'error_pct')}
 FROM v JOIN e USING (entity) WHERE h = 1"""
-_types = " + ".join(TYPES)
+_numbers = " UNION ALL ".join(
+    f"SELECT sample, start, '{part}' AS part, CAST(idx - start - {first} AS INTEGER) AS pos, CAST({k} AS INTEGER) AS k, CAST({c} AS DOUBLE) AS x "
+    f"FROM tensors WHERE idx >= start + {first} AND idx < start + {last}"
+    for part, first, last, names in (
+        ("x_past", 0, SHORT, [*TYPES, "month_sin", "month_cos"]),
+        ("x_fut", 0, SHORT + FUT, ["IS_WEEKEND", "IS_FERIE", "IS_VACANCES", "IS_PONT"]),
+        ("y", SHORT, SHORT + FUT, TYPES),
+    )
+    for k, c in enumerate(names)
+)
 ORACLE["sequence_samples"] = with_(
-    EVENTS, WIDE, "w AS (SELECT *, row_number() OVER (ORDER BY day) - 1 AS idx FROM wide)",
-    f"samp AS (SELECT CAST(sample AS INTEGER) AS sample, {START.format(seed=SEED, choices=30 - PAST - FUT + 1)} AS start FROM generate_series(0, 49) t(sample))",
-) + f"""
-SELECT sample, start, CAST(COUNT(*) FILTER (idx < start + {PAST}) AS INTEGER) AS n_past, CAST(COUNT(*) AS INTEGER) AS n_fut,
-  CAST(COUNT(*) FILTER (idx >= start + {PAST}) AS INTEGER) AS n_y,
-  {r(f'SUM({_types} + month_sin + month_cos) FILTER (idx < start + {PAST})', 'past_sum')},
-  {r('SUM(IS_WEEKEND + IS_FERIE + IS_VACANCES + IS_PONT)', 'fut_sum')},
-  {r(f'SUM({_types}) FILTER (idx >= start + {PAST})', 'y_sum')}
-FROM samp JOIN w ON idx >= start AND idx < start + {PAST + FUT} GROUP BY 1, 2"""
+    EVENTS, WIDE, "w AS (SELECT *, row_number() OVER (ORDER BY day) - 1 AS idx, COUNT(*) OVER () AS n FROM wide)",
+    f"samp AS (SELECT CAST(sample AS INTEGER) AS sample, {START.format(seed=SEED, choices=f'(SELECT MAX(n) - {SHORT + FUT} + 1 FROM w)')} AS start FROM generate_series(0, {NS - 1}) t(sample))",
+    f"tensors AS (SELECT * FROM samp JOIN w ON idx >= start AND idx < start + {SHORT + FUT})",
+    f"numbers AS ({_numbers})",
+) + f"SELECT sample, start, part, pos, k, {r('x', 'x')} FROM numbers"
 
 # ---------------------------------------------------------------- models
 

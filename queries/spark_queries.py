@@ -679,7 +679,9 @@ def compare_baseline(spark, sf):
 
 # ---------------------------------------------------------------- sequences
 
-N_SAMPLES, PAST, FUTURE, SEED = 20, 14, 7, 11
+N_SAMPLES, PAST, FUTURE, SEED = 500, config.PAST_LENGTH, HORIZON, 11
+# The event panel has thirty days.
+SHORT_PAST = 14
 
 
 def _windows(spark, sf, log):
@@ -722,24 +724,22 @@ def entity_error_table(spark, sf):
 
 @query
 def sequence_samples(spark, sf):
-    """Sample tensors of the event panel, flattened to their sums and sizes."""
-    panel = i.event_panel(spark, sf)
-    types = ["click", "error", "purchase", "signup", "view"]
+    """Sample tensors of the event panel, one row per number: past, future covariates and target."""
+    panel = materialize(i.event_panel(spark, sf), "events")
+    types = [r["entity"] for r in panel.select("entity").distinct().orderBy("entity").collect()]
+    span = panel.agg(F.year(F.min("day")).alias("first"), F.year(F.max("day")).alias("last"), F.count_distinct("day").alias("n")).first()
     wide = sequences.wide_log_panel(
-        panel, types, None, cal.load_calendar(spark, 2024, 2024, day="day"), True, COLS
+        panel, types, None, cal.load_calendar(spark, span["first"], span["last"], day="day"), True, COLS
     )
-    starts = sequences.sample_starts(spark, 50, 30, PAST, FUTURE, SEED)
+    starts = sequences.sample_starts(spark, N_SAMPLES, span["n"], SHORT_PAST, FUTURE, SEED)
     made = sequences.sequence_samples(
-        wide, starts, types, PAST, FUTURE, ["month_sin", "month_cos"], config.CALENDAR_COLUMNS, "day"
-    )
-    total = lambda c: F.aggregate(F.flatten(c), F.lit(0.0), lambda a, x: a + x)
-    return rounded(
-        made.select(
-            "sample", "start", F.size("x_past").alias("n_past"), F.size("x_fut").alias("n_fut"),
-            F.size("y").alias("n_y"), total("x_past").alias("past_sum"), total("x_fut").alias("fut_sum"),
-            total("y").alias("y_sum"),
-        )
+        wide, starts, types, SHORT_PAST, FUTURE, ["month_sin", "month_cos"], config.CALENDAR_COLUMNS, "day"
     )
+    parts = []
+    for part in ("x_past", "x_fut", "y"):
+        days = made.select("sample", "start", F.lit(part).alias("part"), F.posexplode(part).alias("pos", "vector"))
+        parts.append(days.select("sample", "start", "part", "pos", F.posexplode("vector").alias("k", "x")))
+    return rounded(parts[0].unionByName(parts[1]).unionByName(parts[2]))
 
 
 # ---------------------------------------------------------------- models

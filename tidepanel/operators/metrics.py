@@ -88,7 +88,7 @@ def aggregate_metrics(per_entity: DataFrame, horizon: int) -> DataFrame:
     pct = ["mae_pct"] + [f"mae_pct_j{h}" for h in range(1, horizon + 1)]
     columns = pct + ["r2"]
     per_entity = materialize(per_entity.select(*columns), "errors")
-    medians = exact_quantiles(per_entity, columns, [0.5])
+    medians = exact_quantiles(per_entity, columns, [0.5], stored=True)
     counts = per_entity.agg(
         F.count(F.lit(1)).alias("n_stations"),
         F.count_if(F.col("r2") < 0).alias("_neg"),
@@ -113,7 +113,7 @@ def aggregate_metrics(per_entity: DataFrame, horizon: int) -> DataFrame:
 def results_summary(results: DataFrame) -> DataFrame:
     """Number of groups, mean and exact median of MAE and R2."""
     results = materialize(results.select("mae", "r2"), "results")
-    q = exact_quantiles(results, ["mae", "r2"], [0.5])
+    q = exact_quantiles(results, ["mae", "r2"], [0.5], stored=True)
 
     def med(c):
         return F.max(F.when(F.col("name") == c, F.col("quantile")))
