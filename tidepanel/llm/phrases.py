@@ -230,7 +230,7 @@ def propose_pairs(blocks: DataFrame) -> DataFrame:
                 ids = np.frombuffer(block.as_py(), "<i4")
                 at = np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0))
                 found.add(ids[at], ids[at + 1])
-                if found.size >= HELD * 4:
+                if found.size >= HELD * 2:
                     yield from _rows(PROPOSED, *found.take())
         yield from _rows(PROPOSED, *found.take())
 
@@ -264,7 +264,7 @@ def walk_trie(blocks: DataFrame, trie, depth: int, whole: bool, propose: bool) -
                         good = good[begins[at[good] + 1]]
                     good = good[ids[at[good] + depth] > 0]
                     found.add(states[good], ids[at[good] + depth])
-                    if found.size >= HELD * 4:
+                    if found.size >= HELD * 2:
                         yield from _rows(PROPOSED, *found.take())
         seen = np.flatnonzero(counts)
         yield from _rows(COUNTED, seen, np.zeros(len(seen), np.int64), counts[seen])
