@@ -18,6 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from tidepanel.llm.common import free_name, ship_package, text_or_empty
+from tidepanel.llm.pretokens import MEMO_BYTES
 from tidepanel.llm.vocabularies import id_bytes, library_encoder
 from tidepanel.session import materialize, scratch_path
 
@@ -35,7 +36,7 @@ BIN = pa.schema(
 
 def cut_pieces(
     documents: DataFrame, tokenizer: str, pattern: str, end_id: int, room: int,
-    id_col: str = "doc_id", text_col: str = "text",
+    id_col: str = "doc_id", text_col: str = "text", memo_bytes: int = MEMO_BYTES,
 ) -> DataFrame:
     """The pieces of every document: at most `room` ids, all but the first just as many.
 
@@ -45,7 +46,7 @@ def cut_pieces(
     ship_package(documents.sparkSession)
     @F.arrow_udf("array<struct<piece: int, start: bigint, length: bigint, ids_crc32: bigint>>")
     def pieces(texts: pa.Array) -> pa.Array:
-        encode, end = library_encoder(tokenizer, pattern).encode, id_bytes([end_id])
+        encode, end = library_encoder(tokenizer, pattern, memo_bytes).encode, id_bytes([end_id])
         rows = []
         for text in texts:
             data = memoryview(encode(text.as_py()) + end)
@@ -178,7 +179,7 @@ def pack_pieces(pieces: DataFrame, room: int, slack: int = 8, batch_items: int =
 
 def pack_documents(
     documents: DataFrame, tokenizer: str, pattern: str, end_id: int, room: int = 2048,
-    id_col: str = "doc_id", text_col: str = "text",
+    id_col: str = "doc_id", text_col: str = "text", memo_bytes: int = MEMO_BYTES,
 ) -> DataFrame:
     """Pack whole documents into sequences; one row per piece.
 
@@ -187,7 +188,7 @@ def pack_documents(
     id are packed like any other row. An empty table gives an empty result. Other
     columns are ignored.
     """
-    pieces = materialize(cut_pieces(documents, tokenizer, pattern, end_id, room, id_col, text_col), "pieces")
+    pieces = materialize(cut_pieces(documents, tokenizer, pattern, end_id, room, id_col, text_col, memo_bytes), "pieces")
     sequences = pack_pieces(pieces, room)
     # Place of a member: the lengths of those before it in its sequence.
     ends = F.expr("aggregate(members, array(0L), (acc, m) -> concat(acc, array(element_at(acc, -1) + m.length)))")

@@ -21,6 +21,8 @@ URL_RULES = [
 ]
 END_OF_FILE_TEXT = 2
 END_OF_PACKED_TEXT = 0
+#: Memos of queries that run alone; the pipeline, whose workers hold more, keeps the default.
+WIDE_MEMO = 112 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,7 +39,7 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
-    token_files.write_token_files(table(spark, sf_dir, "documents"), path, *_library(), END_OF_FILE_TEXT)
+    token_files.write_token_files(table(spark, sf_dir, "documents"), path, *_library(), END_OF_FILE_TEXT, memo_bytes=WIDE_MEMO)
     return token_files.read_token_digests(spark, path)
 
 
@@ -54,7 +56,7 @@ def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(table(spark, sf_dir, "documents"), *_library(), END_OF_PACKED_TEXT)
+    return packing.pack_documents(table(spark, sf_dir, "documents"), *_library(), END_OF_PACKED_TEXT, memo_bytes=WIDE_MEMO)
 
 
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tidepanel.llm import simple8b
 from tidepanel.llm.common import free_name, ship_package, text_or_empty
+from tidepanel.llm.pretokens import MEMO_BYTES
 from tidepanel.llm.vocabularies import id_bytes, library_encoder
 from tidepanel.operators.joins import broadcast_if_small
 
@@ -73,7 +74,7 @@ def unpack_segment(payload: bytes) -> tuple[list[int | None], np.ndarray, np.nda
 
 def encode_segments(
     documents: DataFrame, tokenizer: str, pattern: str, end_id: int,
-    id_col: str = "doc_id", text_col: str = "text",
+    id_col: str = "doc_id", text_col: str = "text", memo_bytes: int = MEMO_BYTES,
 ) -> DataFrame:
     """Segments of all documents, dealt out by ranges of the ids.
 
@@ -91,7 +92,7 @@ def encode_segments(
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        encode = library_encoder(tokenizer, pattern).encode
+        encode = library_encoder(tokenizer, pattern, memo_bytes).encode
         schema = pa.schema(
             [("part", pa.int32()), ("segment", pa.int64()), ("start", pa.int64()), ("n_docs", pa.int64()),
              ("n_ids", pa.int64()), ("payload", pa.binary())]
@@ -119,9 +120,9 @@ def encode_segments(
     return ranged.mapInArrow(segments, SEGMENT)
 
 
-def write_token_files(documents: DataFrame, path: str, tokenizer: str, pattern: str, end_id: int, **cols: str) -> None:
+def write_token_files(documents: DataFrame, path: str, tokenizer: str, pattern: str, end_id: int, **options) -> None:
     """Encode all documents and write their segments to a new folder."""
-    encode_segments(documents, tokenizer, pattern, end_id, **cols).write.option("compression", "zstd").parquet(path)
+    encode_segments(documents, tokenizer, pattern, end_id, **options).write.option("compression", "zstd").parquet(path)
 
 
 def segments_in_order(spark: SparkSession, path: str) -> DataFrame:

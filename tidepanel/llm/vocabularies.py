@@ -9,7 +9,7 @@ from functools import lru_cache
 import regex
 from tokenizers import Tokenizer
 
-from tidepanel.llm.pretokens import MemoEncoder
+from tidepanel.llm.pretokens import MEMO_BYTES, MemoEncoder
 
 
 def id_bytes(ids) -> bytes:
@@ -46,9 +46,11 @@ class LibraryEncoder(MemoEncoder):
 
 
 @lru_cache(maxsize=2)
-def library_encoder(path: str, pattern: str) -> MemoEncoder:
+def library_encoder(path: str, pattern: str, memo_bytes: int = MEMO_BYTES) -> MemoEncoder:
     """The ids that the tokenizers library gives without special tokens at the ends.
 
+    `memo_bytes` bounds a generation of its larger memo.
+
     The library splits at white space and letters itself; its own splitting
     is left out here only for pre-tokens that it would not split further.
     """
@@ -66,4 +68,6 @@ def library_encoder(path: str, pattern: str) -> MemoEncoder:
             spelt = pretoken.encode("utf-8").decode("latin-1").translate(to_letters)
         return b"".join([coded[t.id] for t in model.tokenize(spelt)])
 
-    return LibraryEncoder(whole, encode_pretoken=encode, split=regex.compile(pattern).findall)
+    return LibraryEncoder(
+        whole, encode_pretoken=encode, split=regex.compile(pattern).findall, room=memo_bytes // 4, word_room=memo_bytes
+    )
