@@ -39,7 +39,7 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
-    token_files.write_token_files(table(spark, sf_dir, "documents"), path, *_library(), END_OF_FILE_TEXT, memo_bytes=WIDE_MEMO)
+    token_files.write_token_files(table(spark, sf_dir, "documents"), path, *_library(), END_OF_FILE_TEXT, memo_bytes=2 * WIDE_MEMO)
     return token_files.read_token_digests(spark, path)
 
 
