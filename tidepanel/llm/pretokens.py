@@ -51,18 +51,19 @@ class _Memo(dict):
         self.make, self.room, self.size, self.older = make, room, 0, {}
 
     def __missing__(self, key: str) -> bytes:
-        if len(key) > LONGEST_KEPT:
+        n = len(key)
+        if n > LONGEST_KEPT:
             return self.make(key)
         value = self.older.get(key)
         if value is None:
             value = self.make(key)
-        if self.size >= self.room:
+        # A character takes up to four bytes, as ASCII one.
+        self.size += len(value) + ENTRY_BYTES + (n if key.isascii() else 4 * n)
+        if self.size > self.room:
             self.older = dict(self)
             self.clear()
             self.size = 0
         self[key] = value
-        # A character takes up to four bytes, as ASCII one.
-        self.size += len(value) + (len(key) if key.isascii() else 4 * len(key)) + ENTRY_BYTES
         return value
 
 
@@ -91,15 +92,23 @@ class MemoEncoder:
 
     def _word(self, word: str) -> bytes:
         """A piece and the space before it."""
-        if word.isalpha() and word.isascii():
+        ascii_only = word.isascii()
+        if ascii_only and word.isalpha():
             return self._encode_pretoken(" " + word)  # always one match
-        if not word or word[0].isspace() or word[-1].isspace():
+        if word != word.strip() or not word:
             raise _Unsafe
-        first, *rest = self._pieces(" " + word)
+        spaced = " " + word
+        plain = ascii_only and word.isprintable() or LATIN_ONLY.fullmatch(word)
+        pieces = LATIN_SPLIT.findall(spaced) if plain else self._split(spaced)
+        first = pieces[0]
+        if len(pieces) == 1:
+            return self._encode_pretoken(first)  # the entry of the word itself keeps it
         head = first[1:]
         # Letters share the entry of the bare word.
-        known = self._words[head] if rest and head.isalpha() and head.isascii() else self._pretokens[first]
-        return known + b"".join(map(self._pretokens.__getitem__, rest))
+        known = self._words[head] if head.isalpha() and head.isascii() else self._pretokens[first]
+        if len(pieces) == 2:
+            return known + self._pretokens[pieces[1]]
+        return known + b"".join([self._pretokens[p] for p in pieces[1:]])
 
     def encode(self, text: str) -> bytes:
         if not text:
