@@ -852,3 +852,8 @@ SELECT CAST(ts AS DATE) AS day, event_type, {r('SUM(value)', 'value', 4)}, COUNT
 GROUP BY 1, 2 HAVING CAST(ts AS DATE) + INTERVAL 1 DAY <= (SELECT MAX(ts) - INTERVAL 7 DAY FROM events)"""
 ORACLE["stream_upserts"] = f"""
 SELECT CAST(ts AS DATE) AS day, event_type AS entity, {r('SUM(value)', 'value', 4)}, COUNT(*) AS n FROM events GROUP BY 1, 2"""
+ORACLE["stream_components"] = with_(PANEL, MULTI, PAIRS, GROUPS) + """
+SELECT key, entity, grp AS "group", MIN(day) AS first_day, MAX(day) AS last_day, COUNT(*) AS n_days
+FROM grouped JOIN multi USING (entity) GROUP BY 1, 2, 3"""
+ORACLE["stream_actions"] = ORACLE["entity_actions"]
+ORACLE["stream_serving"] = ORACLE["serving_features"]

@@ -15,7 +15,7 @@ from tidepanel.plans import workflows
 from tidepanel.session import materialize, scratch_path
 from tidepanel.sinks import stores as sink
 from tidepanel.sources import calendar as cal, files, stores as source, weather as sky
-from tidepanel.streaming import ingest
+from tidepanel.streaming import ingest, resolution, serving
 
 REGISTRY = {}
 
@@ -1093,3 +1093,49 @@ def stream_upserts(spark, sf):
         )
         ingest.compact_totals(spark, f"{base}/totals") if turn == 0 else None
     return rounded(ingest.upserted_totals(spark, f"{base}/totals"), 4)
+
+
+def _resolved_in_parts(spark, sf):
+    """The multi-id panel resolved batch by batch: two folders of half the ids' days each, then the rest."""
+    panel = _stored_multi(spark, sf)
+    base = scratch_path(spark, "resolution")
+    for turn in range(3):
+        part = panel.filter(F.pmod(F.xxhash64("entity", F.year("day")), F.lit(3)) == turn)
+        part.write.mode("append").parquet(f"{base}/source")
+        resolution.run_resolution(
+            spark, f"{base}/source", f"{base}/state", f"{base}/checkpoint", panel.schema, overrides=i.OVERRIDES, cols=COLS
+        )
+    return resolution.resolved(spark, f"{base}/state")
+
+
+@query
+def stream_components(spark, sf):
+    """Every (key, id) with its group and the id's lifetime, after three batches in no order of days."""
+    state = _resolved_in_parts(spark, sf)
+    return state["pairs"].join(state["lives"], "entity")
+
+
+@query
+def stream_actions(spark, sf):
+    """Actions after three batches; each decides the groups of its own ids anew."""
+    return _resolved_in_parts(spark, sf)["actions"]
+
+
+@query
+def stream_serving(spark, sf):
+    """Serving features appended by entity state as three spans of days arrive."""
+    panel = materialize(i.panel(spark, sf).select("entity", "day", F.col("value").cast("double").alias("value")), "panel")
+    base = scratch_path(spark, "serving")
+    spans = [F.col("day") < i.TRAIN_FROM, F.col("day").between(i.TRAIN_FROM, i.CUTOFF), F.col("day") > i.CUTOFF]
+    for span in spans:
+        panel.filter(span).write.mode("append").parquet(f"{base}/source")
+        serving.run_serving(
+            spark, f"{base}/source", f"{base}/shifts", f"{base}/checkpoint", panel.schema, i.LAGS, i.ROLLS, i.EXCLUDED, COLS
+        )
+    days = i.day_table(spark, sf)
+    flagged = clean.exclude_window(panel, i.EXCLUDED, "day").join(F.broadcast(i.calendar(spark)), "day", "left")
+    levels, profiles = features.levels_profiles(flagged, i.CUTOFF, COLS)
+    rows = serving.kept_features(
+        spark, f"{base}/shifts", levels, profiles, days, HORIZON, i.LAGS, i.ROLLS, i.CUTOFF, COLS
+    )
+    return rounded(rows, exact=EXACT)

@@ -150,6 +150,20 @@ def detect_actions(
     whole = summary.groupBy(cols.entity).agg(
         F.min("first_day").alias("first_day"), F.max("last_day").alias("last_day")
     )
+    return decide_actions(panel, grouped, whole, overlap_days, duplicate_ratio, overrides, cols)
+
+
+def decide_actions(
+    panel: DataFrame,
+    grouped: DataFrame,
+    whole: DataFrame,
+    overlap_days: int = config.OVERLAP_DAYS,
+    duplicate_ratio: float = config.DUPLICATE_RATIO,
+    overrides: dict[str, str] = config.ACTION_OVERRIDES,
+    cols: PanelCols = DEFAULT,
+) -> DataFrame:
+    """`detect_actions` for given groups (key, id, group) and lifetimes of their ids."""
+    whole = whole.select(cols.entity, "first_day", "last_day")
     members = grouped.select("group", cols.entity).distinct()
     multi = members.groupBy("group").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
     members = members.join(multi.select("group"), "group", "left_semi")
