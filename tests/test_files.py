@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tidepanel.plans import workflows
 from tidepanel.sinks import stores as sink
-from tidepanel.sources import calendar as cal, files, stores as source, weather
+from tidepanel.sources import calendar as cal, files, stores as source, weather, utf16
 from tidepanel.streaming import ingest
 
 HEADER = ["JOUR", "CODE_STIF_TRNS", "CODE_STIF_RES", "CODE_STIF_ARRET", "LIBELLE_ARRET", "ID", "CATEGORIE_TITRE", "NB_VALD"]
@@ -298,3 +298,40 @@ def test_replayed_and_late_batches_give_the_batch_aggregate(spark, tmp_path):
     assert again == {**want, ("2024-03-01", "a"): (11.0, 2)}
     ingest.compact_totals(spark, target)
     assert ingest.upserted_totals(spark, target).count() == len(want)
+
+
+@pytest.mark.parametrize("codec, mark", [("utf-16-be", b"\xfe\xff"), ("utf-16-le", b"\xff\xfe"), ("utf-16-le", b"")])
+def test_ranges_of_utf16_files_hold_each_line_once(tmp_path, codec, mark):
+    # U+0A.. and U+..00 next to each other hold the bytes of a line feed across characters.
+    lines = ["a;b", "1;\u0a0a\u0a00x", "", "\u0100\u0a01;z"] + [f"{k};" + "\u0a0b\u4100" * (k % 5) for k in range(40)]
+    for end in ("", "\r\n"):
+        path = tmp_path / "x"
+        path.write_bytes(mark + ("\r\n".join(lines) + end).encode(codec))
+        for size in (2, 6, 50, 64, 1000, 10**6):
+            got = []
+            for start in range(0, path.stat().st_size, size):
+                with path.open("rb") as file:
+                    got += utf16.lines_of(file, start, start + size)
+            assert got == lines
+
+
+def test_a_utf16_file_is_read_by_several_tasks(spark, tmp_path):
+    names = ["id", "text"]
+    rows = [(str(k), f"été {k}" if k % 7 else None) for k in range(3000)]
+    body = "\n".join("\t".join(c or "" for c in r) for r in [names, *rows]) + '\n7\t"a ""b"" c"\textra\n8\n'
+    paths = [str(tmp_path / n) for n in ("a.txt", "b.txt")]
+    for path, codec in zip(paths, ("utf-16", "utf-16-be")):
+        mark = "" if codec == "utf-16" else "\ufeff"
+        (tmp_path / path).write_bytes((mark + body).encode(codec))
+    df = utf16.read_utf16(spark, paths, "\t", names, range_bytes=8192)
+    want = sorted([*rows, ("7", 'a "b" c'), ("8", None)] * 2, key=str)
+    assert sorted(((r["id"], r["text"]) for r in df.collect()), key=str) == want
+    assert df.select(F.spark_partition_id()).distinct().count() > 10
+    assert df.groupBy("path").count().count() == 2
+    with pytest.raises(Exception, match="header"):
+        utf16.read_utf16(spark, paths, "\t", ["id", "other"]).collect()
+    (tmp_path / "c.txt").write_bytes('id\ttext\n1\t"two\nlines"\n'.encode("utf-16"))
+    with pytest.raises(Exception, match="multi_line"):
+        utf16.read_utf16(spark, [str(tmp_path / "c.txt")], "\t", names).collect()
+    whole = files.read_files(spark, [str(tmp_path / "c.txt")], "utf-16", "\t", names, names, multi_line=True)
+    assert [tuple(r) for r in whole.collect()] == [("1", "two\nlines")]

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidepanel import config
 from tidepanel.session import materialize
+from tidepanel.sources.utf16 import PATH, read_utf16
 
 HEAD_BYTES = 65_536
 # Spark's reader names of the detected encodings (the UTF-8 reader drops a BOM).
@@ -148,17 +149,22 @@ def read_files(
     separator: str,
     required: list[str] = config.REQUIRED_COLUMNS,
     header: list[str] | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Text columns of files that share one format and one header.
 
     Undecodable bytes are replaced, not fatal. With a known `header` nothing is
-    inferred, and a file with another header is an error. UTF-16 cannot be split at line ends, so such a file is streamed
-    by one task.
+    inferred, and a file with another header is an error; then UTF-16 files too
+    are read in ranges of bytes, and have a column `path`. `multi_line` allows line ends in
+    quoted cells, and one task streams each file.
     """
+    if encoding == "utf-16" and header is not None and not multi_line:
+        check_columns(header, required, str(paths))
+        return read_utf16(spark, paths, separator, header)
     reader = spark.read.option("header", True).option("sep", separator).option(
         "encoding", READER_CHARSET[encoding]
     )
-    if encoding == "utf-16":
+    if encoding == "utf-16" or multi_line:
         reader = reader.option("multiLine", True)
     if header is not None:
         reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in header]))
@@ -169,7 +175,7 @@ def read_files(
 
 
 def load_source(
-    spark: SparkSession, formats: list, required: list[str] = config.REQUIRED_COLUMNS
+    spark: SparkSession, formats: list, required: list[str] = config.REQUIRED_COLUMNS, multi_line: bool = False
 ) -> list[DataFrame]:
     """One frame per distinct format and header, with ANNEE and PERIODE from the paths.
 
@@ -181,11 +187,11 @@ def load_source(
     pattern = r"(\d{4})-([A-Z]\d+)-[^/]*(?:/[^/]*)?$"
     frames = []
     for row in formats:
-        df = read_files(spark, row["paths"], row["encoding"], row["separator"], required, row["header"])
-        source = F.col("_metadata.file_path")
+        df = read_files(spark, row["paths"], row["encoding"], row["separator"], required, row["header"], multi_line)
+        source = F.col(PATH if PATH in df.columns and PATH not in row["header"] else "_metadata.file_path")
         frames.append(
             df.select(
-                "*",
+                *row["header"],
                 F.regexp_extract(source, pattern, 1).alias("ANNEE"),
                 F.regexp_extract(source, pattern, 2).alias("PERIODE"),
             )
