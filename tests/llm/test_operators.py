@@ -552,6 +552,42 @@ def test_runs_of_ids_by_brute_force_and_their_distributions_sum_to_one(spark):
                 assert (again >= 0).all() and (again <= 1.001).all()
 
 
+def test_words_are_spelt_from_their_ids():
+    for text in [*ODD_TEXTS, LONG, "x<|endoftext|>y z", "\u3000 \u3000 a\x85 b", "x\u3000 \u3000y"]:
+        words = lm.words_of(text)
+        assert lm.spelt(lm.ids_of(words, LIBRARY, PATTERN), LIBRARY) == words, repr(text[:40])
+
+
+def test_windows_score_as_whole_windows_do():
+    """Only scored places ask; what they find equals the forward pass over whole windows."""
+    from tidepanel.llm import attention
+
+    rng = np.random.default_rng(17)
+    model = attention.initial(40, 8, 6, 5, np.ones(40))
+    lengths = np.array([1, 3, 8, 9, 30, 2, 17])
+    inputs, targets = rng.integers(0, 6, (2, lengths.sum()))
+    known = rng.random(len(inputs)).astype(np.float32) / 40
+    evidence = rng.random((len(inputs), attention.EVIDENCE)).astype(np.float32)
+    for stride in (3, 4, 8):
+        got = attention.token_scores(model, inputs, targets, known, evidence, lengths, stride, batch=4)
+        starts, first = attention.cut_windows(lengths, 8, stride)
+        ends = np.cumsum(lengths)
+        scored = np.zeros(len(inputs), int)
+        for start, place in zip(starts, first):
+            end = min(start + 8, ends[np.searchsorted(ends, start, side="right")])
+            own = slice(start, end)
+            padded = np.append(inputs[own], np.zeros(8 - (end - start), int))[None]
+            *_, w, gathered = model.forward(padded)
+            weights, total = model.gates(inputs[own], gathered[0, : end - start], evidence[own])
+            for at in range(place, end - start):
+                p = start + at
+                pointed = sum(w[0, at, j] * (targets[start + j] == targets[p]) for j in range(at)) + w[0, at, at] * known[p]
+                parts = np.append(model.outputs[targets[p]], [known[p], pointed])
+                assert np.isclose(got[p], (weights[at] * parts).sum() / total[at], rtol=1e-4)
+                scored[p] += 1
+        assert (scored == 1).all()
+
+
 def test_lookups_find_all_keys_and_no_others():
     from tidepanel.llm.counts import Lookup
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import array
+import json
 import sys
 from functools import lru_cache
 
@@ -71,3 +72,20 @@ def library_encoder(path: str, pattern: str, memo_bytes: int = MEMO_BYTES) -> Me
     return LibraryEncoder(
         whole, encode_pretoken=encode, split=regex.compile(pattern).findall, room=memo_bytes // 4, word_room=memo_bytes
     )
+
+
+@lru_cache(maxsize=2)
+def spellings(path: str) -> list[bytes]:
+    """The bytes of each id of a byte-level vocabulary; ids that it lacks have none."""
+    with open(path, encoding="utf-8") as file:
+        parts = json.load(file)
+    vocabulary = parts["model"]["vocab"]
+    added = {t["id"]: t["content"] for t in parts["added_tokens"]}
+    out = [b""] * (max([*vocabulary.values(), *added]) + 1)
+    byte_of = str.maketrans({letter: chr(b) for b, letter in enumerate(byte_letters())})
+    for token, i in vocabulary.items():
+        if i not in added:
+            out[i] = token.translate(byte_of).encode("latin-1")
+    for i, content in added.items():
+        out[i] = content.encode("utf-8")
+    return out
