@@ -299,7 +299,27 @@ def test_topk_equals_brute_force(spark, block, shard):
         best = sorted((-int(whole[q] @ v), i) for i, v in whole.items() if i != q)[:5]
         want += [(q, rank, i, -s) for rank, (s, i) in enumerate(best, 1)]
     assert sorted(map(tuple, got)) == sorted(want)
-    assert topk.top_k(table.limit(0)).count() == 0
+    alike = topk.top_k(table, block=block, shard=shard, query_block=2, cell_vectors=40, clustered=True).collect()
+    assert sorted(map(tuple, alike)) == sorted(want)
+    assert topk.top_k(table.limit(0)).count() == 0 and topk.scored_share(table.limit(0)) is None
+
+
+def test_blocks_of_like_vectors_are_skipped(spark):
+    rng = np.random.default_rng(2)
+    centres = rng.standard_normal((16, 16)) * 8
+    rows = [(i, (centres[rng.integers(16)] + rng.standard_normal(16) / 4).tolist()) for i in range(2000)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    options = dict(block=32, shard=1000)
+    plain, alike = (topk.scored_share(table, clustered=c, **options) for c in (False, True))
+    assert alike < 0.3 and alike < plain / 2
+    got = [topk.top_k(table, clustered=c, **options).orderBy("query_id", "rank").collect() for c in (False, True)]
+    assert got[0] == got[1] and len(got[0]) == 200
+
+
+@pytest.mark.parametrize("size", [1.0, 1e3, 1e7])
+def test_shards_hold_components_exactly(size):
+    whole = np.floor(np.random.default_rng(3).standard_normal((50, 4)) * size * 256)
+    assert (whole.astype(topk.narrowest(whole)) == whole).all()
 
 
 def test_blocks_are_pruned():

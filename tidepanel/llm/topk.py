@@ -1,9 +1,10 @@
 """Exact top-k by inner product with block-at-a-time pruning.
 
 Vectors lie in order of their ids in shards; a shard holds blocks of
-neighbouring ids, its forward index (the blocks' vectors) and, for each block
-and component, the largest and smallest value. For a query the sum of the
-largest products bounds a block's scores. Blocks are scored in the order of
+neighbouring ids (or, if asked for, of like vectors of the shard), its forward
+index (the blocks' vectors, in the narrowest whole numbers that hold them) and,
+for each block and component, the largest and smallest value. For a query the sum
+of the largest products bounds a block's scores. Blocks are scored in the order of
 falling bounds until a bound is below the k-th score found so far. Equal
 scores go to the smaller id, so a bound that equals the k-th score is still
 followed.
@@ -28,7 +29,9 @@ SCALE = 256
 #: Sums of products below this are exact in doubles.
 EXACT = float(1 << 53)
 
-SHARD = "part int, shard long, n long, dims long, ids binary, vectors binary"
+SHARD = "part int, shard long, n long, dims long, kind string, ids binary, vectors binary, high binary, low binary"
+
+FOUND = ["query_id", "vec_id", "score", "scored", "there_are"]
 
 
 def _valid(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -45,8 +48,39 @@ def _valid(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     )
 
 
-def _shards(rows: DataFrame, size: int) -> DataFrame:
-    """`size` neighbouring vectors to a row, as matrices of doubles; identical rows once."""
+def narrowest(matrix: np.ndarray) -> str:
+    """The kind of number that holds whole-number components exactly."""
+    for kind in ("<i2", "<i4"):
+        limits = np.iinfo(kind)
+        if matrix.min(initial=0) >= limits.min and matrix.max(initial=0) <= limits.max:
+            return kind
+    return "<f8"
+
+
+def arranged(vectors: np.ndarray, block: int) -> np.ndarray:
+    """An order in which a block's vectors are alike: halves by the component that varies most, and so on."""
+    order = np.arange(len(vectors))
+    todo = [(0, len(vectors))]
+    while todo:
+        a, b = todo.pop()
+        if b - a <= block:
+            continue
+        own = order[a:b]
+        widest = int(vectors[own].var(axis=0).argmax())
+        order[a:b] = own[np.argsort(vectors[own, widest], kind="stable")]
+        middle = a + -(-(b - a) // (2 * block)) * block
+        todo += [(a, middle), (middle, b)]
+    return order
+
+
+def block_bounds(vectors: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
+    """Largest and smallest value of each block and component."""
+    starts = np.arange(0, len(vectors), block)
+    return np.maximum.reduceat(vectors, starts, axis=0), np.minimum.reduceat(vectors, starts, axis=0)
+
+
+def _shards(rows: DataFrame, size: int, block: int, clustered: bool = False) -> DataFrame:
+    """`size` neighbouring vectors to a row, as matrices with the bounds of their blocks; identical rows once."""
     ship_package(rows.sparkSession)
     ordered = rows.repartitionByRange("vec_id").sortWithinPartitions("vec_id")
 
@@ -61,9 +95,13 @@ def _shards(rows: DataFrame, size: int) -> DataFrame:
             matrix = np.zeros((len(values), dims))
             for i, v in enumerate(values):
                 matrix[i, : len(v)] = v
-            row_ = [part, number, len(ids), dims, np.array(ids, "<i8").tobytes(), matrix.tobytes()]
-            kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
-            names = ["part", "shard", "n", "dims", "ids", "vectors"]
+            order = arranged(matrix, block) if clustered else np.arange(len(ids))
+            kind = narrowest(matrix)
+            matrix = matrix[order].astype(kind)
+            matrices = [m.tobytes() for m in (matrix, *block_bounds(matrix, block))]
+            row_ = [part, number, len(ids), dims, kind, np.array(ids, "<i8")[order].tobytes(), *matrices]
+            kinds = [pa.int32(), *[pa.int64()] * 3, pa.string(), *[pa.binary()] * 4]
+            names = ["part", "shard", "n", "dims", "kind", "ids", "vectors", "high", "low"]
             return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row_, kinds)], names=names)
 
         same: set[bytes] = set()
@@ -111,15 +149,18 @@ class Best:
         self.ids[rows] = np.take_along_axis(all_ids, order, axis=1)
 
 
-def search_shard(best: Best, query_ids, queries, ids, vectors, block: int) -> int:
-    """Update `best` by one shard; returns the number of (query, block) pairs scored."""
+def search_shard(best: Best, query_ids, queries, ids, vectors, block: int, high=None, low=None) -> int:
+    """Update `best` by one shard; returns the number of (query, block) pairs scored.
+
+    `high` and `low` are the bounds of the shard's blocks, if they are stored.
+    """
     dims = max(queries.shape[1], vectors.shape[1])
-    queries, vectors = _fit(queries, dims), _fit(vectors, dims)
-    if np.abs(queries).max(initial=0) * np.abs(vectors).max(initial=0) * dims >= EXACT:
+    if high is None:
+        high, low = block_bounds(vectors, block)
+    queries, vectors, high, low = (_fit(m, dims) for m in (queries, vectors, high, low))
+    if np.abs(queries).max(initial=0) * max(np.abs(high).max(), np.abs(low).max()) * dims >= EXACT:
         raise OverflowError("inner products are not exact in doubles")
     starts = np.arange(0, len(ids), block)
-    high = np.maximum.reduceat(vectors, starts, axis=0)
-    low = np.minimum.reduceat(vectors, starts, axis=0)
     bounds = np.maximum(queries, 0) @ high.T + np.minimum(queries, 0) @ low.T
     order = np.argsort(-bounds, axis=1, kind="stable")
     active = np.arange(len(queries))
@@ -140,48 +181,43 @@ def search_shard(best: Best, query_ids, queries, ids, vectors, block: int) -> in
     return scored
 
 
-def top_k(
+def _search(
     vectors: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_id", vector_col: str = "embedding",
-    block: int = 64, shard: int = 4096, query_block: int = 512, cell_vectors: int = 8192,
+    block: int = 64, shard: int = 4096, query_block: int = 512, cell_vectors: int = 8192, clustered: bool = False,
 ) -> DataFrame:
-    """The `k` best other vectors of each query, which are the ids divisible by `every`.
-
-    Returns query_id, rank (from 1), vec_id, score. Components are
-    floor(256 * x); scores are exact whole numbers, ties go to the smaller id.
-    Null ids, null vectors and vectors with null or non-finite components take
-    no part; missing components of shorter vectors are zero. Identical rows
-    count once; an id with several vectors is a query with each of them, and
-    its best results are returned. Other columns are ignored; an empty table
-    gives an empty result.
-    """
+    """The best of each task: query_id, vec_id, score; and a row without ids of (query, block) pairs scored and there."""
     rows = _valid(vectors, id_col, vector_col)
-    index = materialize(_shards(rows, shard), "vector-shards")
+    index = materialize(_shards(rows, shard, block, clustered), "vector-shards")
     total = index.agg(F.sum("n")).first()[0] or 0
     cells = max(1, -(-total // cell_vectors))
-    asked = materialize(_shards(rows.filter(F.col("vec_id") % every == 0), query_block), "query-blocks")
+    asked = materialize(_shards(rows.filter(F.col("vec_id") % every == 0), query_block, query_block), "query-blocks")
     left = asked.select(
-        F.xxhash64("part", "shard").alias("q"), F.col("n").alias("q_n"), F.col("dims").alias("q_dims"),
+        F.xxhash64("part", "shard").alias("q"), F.col("n").alias("q_n"), F.col("kind").alias("q_kind"),
         F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"),
         F.explode(F.sequence(F.lit(0).cast("long"), F.lit(cells - 1).cast("long"))).alias("cell"),
     )
     right = index.withColumn("cell", F.pmod(F.xxhash64("part", "shard"), F.lit(cells).cast("long")))
     pairs = left.join(right, "cell").select(
-        "q", "q_n", "q_ids", "q_vectors", "n", "ids", "vectors"
+        "q", "q_n", "q_kind", "q_ids", "q_vectors", "n", "kind", "ids", "vectors", "high", "low"
     )
 
     def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[int, tuple[np.ndarray, Best]] = {}
+        scored = there_are = 0
         for batch in batches:
             for row in range(len(batch)):
-                q, q_n, q_ids, q_vectors, n, ids, matrix = (c[row].as_py() for c in batch.columns)
+                q, q_n, q_kind, q_ids, q_vectors, n, kind, ids, *matrices = (c[row].as_py() for c in batch.columns)
                 query_ids = np.frombuffer(q_ids, "<i8")
                 if q not in found:
                     found[q] = query_ids, Best(q_n, k)
-                queries = np.frombuffer(q_vectors).reshape(q_n, -1)
-                search_shard(
-                    found[q][1], query_ids, queries, np.frombuffer(ids, "<i8"),
-                    np.frombuffer(matrix).reshape(n, -1), block,
+                queries = np.frombuffer(q_vectors, q_kind).reshape(q_n, -1)
+                blocks = -(-n // block)
+                matrix, high, low = (
+                    np.frombuffer(m, kind).reshape(height, -1) for m, height in zip(matrices, (n, blocks, blocks))
                 )
+                own = np.frombuffer(ids, "<i8")
+                scored += search_shard(found[q][1], query_ids, queries, own, matrix, block, high, low)
+                there_are += q_n * blocks
         for query_ids, best in found.values():
             there = np.isfinite(best.scores)
             yield pa.RecordBatch.from_arrays(
@@ -189,11 +225,37 @@ def top_k(
                     pa.array(np.broadcast_to(query_ids[:, None], there.shape)[there]),
                     pa.array(best.ids[there]),
                     pa.array(best.scores[there].astype(np.int64)),
+                    *[pa.nulls(there.sum(), pa.int64())] * 2,
                 ],
-                names=["query_id", "vec_id", "score"],
+                names=FOUND,
             )
+        if there_are:
+            counts = [pa.nulls(1, pa.int64())] * 3 + [pa.array([scored]), pa.array([there_are])]
+            yield pa.RecordBatch.from_arrays(counts, names=FOUND)
+
+    return pairs.mapInArrow(searched, ", ".join(f"{name} long" for name in FOUND))
+
+
+def scored_share(vectors: DataFrame, **options) -> float | None:
+    """The share of all (query, block) pairs that `top_k` with these `options` scores; None without queries."""
+    sums = _search(vectors, **options).agg(F.sum("scored").alias("scored"), F.sum("there_are").alias("there_are")).first()
+    return sums["scored"] / sums["there_are"] if sums["there_are"] else None
+
+
+def top_k(vectors: DataFrame, k: int = 5, **options) -> DataFrame:
+    """The `k` best other vectors of each query, which are the ids divisible by `every`.
 
-    found = pairs.mapInArrow(searched, "query_id long, vec_id long, score long").distinct()
+    Returns query_id, rank (from 1), vec_id, score. Components are
+    floor(256 * x); scores are exact whole numbers, ties go to the smaller id.
+    Null ids, null vectors and vectors with null or non-finite components take
+    no part; missing components of shorter vectors are zero. Identical rows
+    count once; an id with several vectors is a query with each of them, and
+    its best results are returned. Other columns are ignored; an empty table
+    gives an empty result. `options` are those of the search: every, id_col,
+    vector_col, the sizes of block, shard, query_block and cell_vectors, and
+    `clustered`, which puts like vectors of a shard into a block.
+    """
+    found = _search(vectors, k, **options).filter("query_id is not null").select("query_id", "vec_id", "score").distinct()
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return (
         found.withColumn("rank", F.row_number().over(order))
