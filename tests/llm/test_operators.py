@@ -257,6 +257,16 @@ def test_near_components(spark, docs, none):
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted({str(w[2]) for w in want})
 
 
+@pytest.mark.parametrize("keep", [exact_dedup.drop_copies, simhash.keep_one])
+def test_the_row_that_stays_does_not_depend_on_order(spark, keep):
+    text = "one text of some words here"
+    rows = [(4, text, "fr", {"a": 1}), (4, text, "de", {"a": 3}), (4, text, "de", {"a": 2})]
+    for order in (rows, rows[::-1]):
+        table = spark.createDataFrame(order, "doc_id long, text string, lang string, `a.b` map<string, int>").coalesce(1)
+        assert [tuple(r) for r in keep(table).collect()] == [(4, text, "de", {"a": 2})]
+        assert [tuple(r) for r in keep(table.drop("a.b")).collect()] == [(4, text, "de")]
+
+
 def test_links_of_one_large_key_in_tiles(spark):
     """All fingerprints share most blocks; tiles of three still find every link."""
     random.seed(2)

@@ -35,6 +35,23 @@ def free_name(df: DataFrame, stem: str) -> str:
     return name
 
 
+def one_of_each(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Of the rows with equal `keys` the one whose other columns are smallest, from left to right; without the keys.
+
+    Nulls come first. Types without an order (maps, variants) are compared as JSON.
+    So a task that runs again keeps the same row.
+    """
+    rest = {c: F.col(f"`{c.replace('`', '``')}`") for c in df.columns if c not in keys}
+    odd = {c for c, kind in df.dtypes if "map<" in kind or "variant" in kind}
+    row = F.struct(*[col.alias(c) for c, col in rest.items()])
+    if odd.isdisjoint(rest):
+        least = F.min(row)
+    else:
+        least = F.min_by(row, F.struct(*[F.to_json(F.struct(col)) if c in odd else col for c, col in rest.items()]))
+    name = free_name(df, "least")
+    return df.groupBy(*keys).agg(least.alias(name)).select(*[F.col(name).getField(c).alias(c) for c in rest])
+
+
 def hash_rate(col: str | Column, rate: float, salt: int) -> Column:
     """A repeatable choice of about `rate` of all values of `col`."""
     if rate >= 1:

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidepanel.llm.common import SPACE_RUN, free_name, text_or_empty
+from tidepanel.llm.common import SPACE_RUN, free_name, one_of_each, text_or_empty
 from tidepanel.session import materialize
 
 
@@ -74,7 +74,7 @@ def exact_groups(
 
 
 def drop_copies(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that stay, all columns unchanged; of repeated rows one stays.
+    """The documents that stay, all columns unchanged; of repeated rows one stays, the smallest by all columns.
 
     The ids that stay are unique per group, so the join back is by id alone.
     """
@@ -96,4 +96,4 @@ def drop_copies(documents: DataFrame, id_col: str = "doc_id", text_col: str = "t
         }
     )
     same = (rows[key] == stays["k"]) & (rows[none] == stays["none"]) & (rows[sha] == stays["text_sha256"])
-    return rows.join(stays, same, "left_semi").dropDuplicates([key, none, sha]).drop(key, none, sha)
+    return one_of_each(rows.join(stays, same, "left_semi"), [key, none, sha])

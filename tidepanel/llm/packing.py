@@ -100,7 +100,8 @@ def _pack_partitions(items: DataFrame, room: int, slack: int, batch_items: int,
     """One round: each partition's items (`filled`, `members`) into bins."""
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base = (number << 58) | (TaskContext.get().partitionId() << 34)
+        # A round that joins less than a tenth is the last, so 255 rounds are enough for 10^11 items.
+        base = (number << 55) | (TaskContext.get().partitionId() << 35)
         made = 0
         held: list[pa.RecordBatch] = []
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidepanel.llm.common import free_name, ship_package, text_or_empty
+from tidepanel.llm.common import free_name, one_of_each, ship_package, text_or_empty
 from tidepanel.operators.components import connected_components
 from tidepanel.session import materialize
 
@@ -190,8 +190,9 @@ def keep_one(
     """One document of every component; all columns unchanged.
 
     It is the one with the smallest id, nulls last, then the smallest SHA-256
-    of the text. Rows that repeat both id and text count as one document;
-    others that share an id, or have none, are documents of their own.
+    of the text. Rows that repeat both id and text count as one document, of which
+    the row that is smallest by all columns stays; others that share an id, or
+    have none, are documents of their own.
     """
     key, none, sha = (free_name(documents, stem) for stem in ("key", "none", "sha"))
     own = {
@@ -211,4 +212,4 @@ def keep_one(
     # Equal ids and texts have equal fingerprints, so these name one document of one component.
     stays = materialize(member.groupBy("component").agg(F.min("least").alias("least")).select("least.*"), "near-stays")
     same = (rows[key] == stays["k"]) & (rows[none] == stays["none"]) & (rows[sha] == stays["sha"])
-    return rows.join(stays, same, "left_semi").dropDuplicates([key, none, sha]).drop(key, none, sha)
+    return one_of_each(rows.join(stays, same, "left_semi"), [key, none, sha])
