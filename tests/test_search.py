@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidepanel.columns import PanelCols
 from tidepanel.functions.quantiles import exact_quantiles
 from tidepanel.models import elastic_net, linear, tuning
-from tidepanel.operators import features, metrics
+from tidepanel.operators import features, metrics, splits
 from tidepanel.plans import workflows
 
 C = PanelCols("e", "d", "v", "l")
@@ -169,3 +169,53 @@ def test_tree_tuning_scores_each_fold(spark):
                          names=["lag_1", "mois"], cols=C).collect()
     assert sorted((r["config"], r["fold"]) for r in scores) == [(0, 1), (0, 2), (1, 1), (1, 2)]
     assert all(r["score"] >= 0 for r in scores)
+
+
+def test_small_groups_cost_one_model_each_and_no_python_for_moments(spark, capsys):
+    rows = rows_of(spark).withColumn("a", F.when(F.col("k") != 8, F.col("a")))
+    moments = linear.group_moments(rows, ["e"], ["a", "b"], ["target_j1"])
+    moments.explain()
+    assert "MapInPandas" not in capsys.readouterr().out
+    got = {r["e"]: np.array(r["moments"]).reshape(4, 4) for r in moments.collect()}
+    x = rows.filter("e = 1").toPandas()
+    assert np.allclose(got[1], moments_of(x[["a", "b"]].to_numpy(), x[["target_j1"]].to_numpy()))
+    # A null spoils the products of its own column alone.
+    assert np.isnan(got[0][1]).all() and not np.isnan(got[0][2, 2:3]).any() and got[0][0, 0] == 300
+    sizes = rows.groupBy("e").agg(F.count(F.lit(1)).alias("n"))
+    joined = linear.join_by_share(rows, moments, ["e"], sizes=sizes)
+    assert {r[0] for r in joined.select(linear.SHARE).distinct().collect()} == {0} and joined.count() == 400
+    large = sizes.withColumn("n", F.when(F.col("e") == 0, linear.SHARE_ROWS + 1).otherwise(1))
+    dealt = linear.join_by_share(rows, moments, ["e"], sizes=large)
+    shares = {r["e"]: r["n"] for r in dealt.groupBy("e").agg(F.count_distinct(linear.SHARE).alias("n")).collect()}
+    assert shares == {0: linear.SHARES, 1: 1} and dealt.count() == 400
+
+
+def test_groups_are_ordered_alike_in_one_task_and_spread(spark):
+    rows = spark.createDataFrame(
+        [(g, None if k == 3 else f"2020-01-{k // 3 + 1:02d}", None if k == 5 else k) for g in (1, 2, None) for k in range(40)],
+        "g int, d string, k int",
+    ).withColumn("d", F.col("d").cast("date"))
+    wanted = sorted(splits.ordered_index(rows, "g", "d", "k").collect())
+    cuts = sorted(rows.join(splits.group_day_cutoffs(rows, "g", 0.3, "d"), "g").collect(), key=str)
+    for most in (0, 100):
+        large = splits.large_groups(rows, "g", most)
+        assert large.count() == (2 if most == 0 else 0)
+        got = splits.ordered_index(rows, "g", "d", "k", large=large)
+        assert sorted(got.select("g", "d", "k", "n", "idx").collect()) == sorted(
+            splits.ordered_index(rows, "g", "d", "k").select("g", "d", "k", "n", "idx").collect()
+        ) and len(wanted) == got.count()
+        cut = splits.with_group_cutoff(rows, "g", 0.3, "d", large)
+        assert sorted(cut.select("g", "d", "k", "cutoff").collect(), key=str) == cuts
+
+
+def test_nets_of_many_groups_equal_each_alone():
+    rng = np.random.default_rng(4)
+    each = []
+    for n in (5, 40, 3):
+        x = rng.standard_normal((n, 3))
+        x[:, 1] = 2.0 if n == 5 else x[:, 1]
+        each.append(moments_of(x, rng.standard_normal((n, 2))))
+    grid = elastic_net.net_grid([0.3, 0.01], [0.0, 0.5])
+    together = elastic_net.net_paths(np.array(each), 3, 2, grid)
+    for m, found in zip(each, together):
+        assert np.allclose(found, elastic_net.net_path(m.ravel(), 3, 2, grid), atol=1e-9)

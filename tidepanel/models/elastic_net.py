@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidepanel.models import linear
+from tidepanel.session import materialize
 
 SWEEPS, STILL = 1000, 1e-10
 
@@ -27,47 +28,62 @@ def net_grid(penalties, ratios) -> list[tuple[float, float]]:
 
 
 def descend(c: np.ndarray, b: np.ndarray, penalty: float, ratio: float, start: np.ndarray) -> np.ndarray:
-    """Coefficients (feature x target) of standardised features with correlations `c` and `b`."""
-    p = len(c)
+    """Coefficients (group x feature x target) of standardised features with correlations `c` and `b`.
+
+    Each group stops by itself when a sweep hardly moves it.
+    """
+    p = c.shape[1]
     if ratio == 0:
         # A feature without spread has a row of zeros and no coefficient.
         return np.linalg.pinv(c + penalty * np.eye(p), rcond=1e-12, hermitian=True) @ b
     w = start.copy()
+    live = np.arange(len(c))
     for _ in range(SWEEPS):
-        moved = 0.0
+        own, now = c[live], w[live]
+        moved = np.zeros(len(live))
         for j in range(p):
-            if c[j, j] == 0:
-                continue
-            pull = b[j] - c[j] @ w + c[j, j] * w[j]
-            new = np.sign(pull) * np.maximum(np.abs(pull) - penalty * ratio, 0) / (c[j, j] + penalty * (1 - ratio))
-            moved = max(moved, float(np.abs(new - w[j]).max(initial=0.0)))
-            w[j] = new
-        if moved < STILL:
+            scale = own[:, j, j]
+            used = scale != 0
+            pull = b[live, j] - np.einsum("gi,git->gt", own[:, j], now) + scale[:, None] * now[:, j]
+            size = np.where(used, scale + penalty * (1 - ratio), 1.0)[:, None]
+            new = np.sign(pull) * np.maximum(np.abs(pull) - penalty * ratio, 0) / size
+            new = np.where(used[:, None], new, now[:, j])
+            moved = np.fmax(moved, np.abs(new - now[:, j]).max(axis=1, initial=0.0))
+            now[:, j] = new
+        w[live] = now
+        live = live[moved >= STILL]
+        if not len(live):
             break
     return w
 
 
-def net_path(moments: np.ndarray, n_features: int, n_targets: int, grid: list[tuple[float, float]]) -> list:
-    """Per choice and target [intercept, coefficients...], in the units of the data."""
+def net_paths(m: np.ndarray, n_features: int, n_targets: int, grid: list[tuple[float, float]]) -> list:
+    """Per group, choice and target [intercept, coefficients...], in the units of the data."""
     p, h = n_features, n_targets
-    m = np.asarray(moments, float).reshape(1 + p + h, 1 + p + h)
-    n = m[0, 0]
-    mean = m[0, 1:] / n
-    cov = m[1:, 1:] / n - np.outer(mean, mean)
-    spread = np.sqrt(np.clip(np.diag(cov), 0, None))
+    n = m[:, :1, 0]
+    mean = m[:, 0, 1:] / n
+    cov = m[:, 1:, 1:] / n[..., None] - mean[:, :, None] * mean[:, None, :]
+    spread = np.sqrt(np.clip(np.einsum("gii->gi", cov), 0, None))
     varies = spread > 1e-9 * np.maximum(1.0, np.abs(mean))
     s = np.where(varies, spread, 1.0)
-    corr = cov / np.outer(s, s) * np.outer(varies, varies)
-    c, b = corr[:p, :p], corr[:p, p:]
-    out, w, last = [], np.zeros((p, h)), None
-    for penalty, ratio in grid:
+    corr = cov / (s[:, :, None] * s[:, None, :]) * (varies[:, :, None] & varies[:, None, :])
+    c, b = corr[:, :p, :p], corr[:, :p, p:]
+    out = np.empty((len(m), len(grid), h, 1 + p))
+    w, last = np.zeros((len(m), p, h)), None
+    for k, (penalty, ratio) in enumerate(grid):
         if ratio != last:
-            w, last = np.zeros((p, h)), ratio
+            w, last = np.zeros((len(m), p, h)), ratio
         w = descend(c, b, penalty, ratio, w)
-        slope = w * s[p:] / s[:p, None]
-        intercept = mean[p:] - mean[:p] @ slope
-        out.append([[float(intercept[j]), *map(float, slope[:, j])] for j in range(h)])
-    return out
+        slope = w * s[:, None, p:] / s[:, :p, None]
+        out[:, k, :, 0] = mean[:, p:] - np.einsum("gi,git->gt", mean[:, :p], slope)
+        out[:, k, :, 1:] = slope.transpose(0, 2, 1)
+    return out.tolist()
+
+
+def net_path(moments: np.ndarray, n_features: int, n_targets: int, grid: list[tuple[float, float]]) -> list:
+    """`net_paths` of one group."""
+    size = 1 + n_features + n_targets
+    return net_paths(np.asarray(moments, float).reshape(1, size, size), n_features, n_targets, grid)[0]
 
 
 def solve_net(moments: Column, n_features: int, n_targets: int, grid: list[tuple[float, float]]) -> Column:
@@ -75,7 +91,8 @@ def solve_net(moments: Column, n_features: int, n_targets: int, grid: list[tuple
 
     @F.pandas_udf("array<array<array<double>>>")
     def solve(column: pd.Series) -> pd.Series:
-        return column.map(lambda flat: net_path(flat, n_features, n_targets, grid))
+        size = 1 + n_features + n_targets
+        return linear.solved_together(column, size, lambda m: net_paths(m, n_features, n_targets, grid))
 
     return solve(moments)
 
@@ -93,10 +110,13 @@ def net_search(
     an empty split have no choice and no model.
     """
     p, h = len(features), len(targets)
-    per_block = linear.group_moments(blocks, [group, "block"], features, targets)
-    fitted = linear.sum_moments(linear.earlier_blocks(per_block, group, n_splits), [group, "block"])
+    per_block = materialize(linear.group_moments(blocks, [group, "block"], features, targets), "moments")
+    fitted = linear.sum_moments(linear.earlier_blocks(per_block, group, n_splits), [group, "block"], p + h)
     fitted = fitted.select(group, "block", solve_net(F.col("moments"), p, h, grid).alias("grid"))
-    rows = linear.join_by_share(blocks.filter(F.col("block") > 0), fitted, [group, "block"], shares)
+    rows = linear.join_by_share(
+        blocks.filter(F.col("block") > 0).select(group, "block", *features, *targets), fitted, [group, "block"], shares,
+        linear.block_sizes(per_block, group),
+    )
     sums = [
         F.sum(linear.mean_error(features, targets, F.col("grid")[g])).alias(f"_s{g}") for g in range(len(grid))
     ]
@@ -120,7 +140,7 @@ def net_search(
         F.col("best.score").alias("score"),
         F.transform("folds", lambda f: f["errors"][F.col("best.choice")]).alias("fold_scores"),
     )
-    whole = linear.sum_moments(per_block.drop("block"), [group])
+    whole = linear.sum_moments(per_block.drop("block"), [group], p + h)
     models = whole.join(chosen.select(group, "choice"), group).select(
         group, F.element_at("moments", 1).cast("bigint").alias("n"),
         solve_net(F.col("moments"), p, h, grid)[F.col("choice")].alias("coefficients"),

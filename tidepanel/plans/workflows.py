@@ -213,12 +213,16 @@ def search_per_group(
     cols: PanelCols = DEFAULT,
 ) -> DataFrame:
     """Best penalty of every group by time-ordered cross-validation on its training days."""
-    cutoffs = splits.group_day_cutoffs(rows, group, test_size, cols.day)
-    train = rows.join(cutoffs, group).filter(F.col(cols.day) < F.col("cutoff")).drop("cutoff")
+    targets = matrix.target_names(horizon)
+    rows = materialize(rows.select(*dict.fromkeys([group, cols.entity, cols.day, *names, *targets])), "search")
+    large = splits.large_groups(rows, group)
+    split = splits.with_group_cutoff(rows, group, test_size, cols.day, large)
+    train = split.filter(F.col(cols.day) < F.col("cutoff")).drop("cutoff")
     tie = cols.entity if group != cols.entity else cols.day
-    indexed = splits.ordered_index(train, group, cols.day, tie)
-    blocks = splits.ts_cv_blocks(indexed, n_splits)
-    return linear.ridge_search(blocks, group, names, matrix.target_names(horizon), alphas, n_splits)
+    indexed = splits.ordered_index(train, group, cols.day, tie, large=large)
+    blocks = splits.ts_cv_blocks(indexed, n_splits).select(group, "block", *names, *targets)
+    blocks = materialize(blocks, "blocks")
+    return linear.ridge_search(blocks, group, names, targets, alphas, n_splits)
 
 
 def search_refit(
@@ -238,15 +242,16 @@ def search_refit(
     all horizons, with n, mae, mae_pct and r2. Split rows are written once and
     read by the search, the refit and the errors.
     """
-    cutoffs = splits.group_day_cutoffs(rows, group, test_size, cols.day)
-    narrow = rows.select(*dict.fromkeys([group, cols.entity, cols.day, *names, *matrix.target_names(horizon)]))
-    split = materialize(narrow.join(cutoffs, group), "search")
+    targets = matrix.target_names(horizon)
+    narrow = materialize(rows.select(*dict.fromkeys([group, cols.entity, cols.day, *names, *targets])), "rows")
+    large = splits.large_groups(narrow, group)
+    split = materialize(splits.with_group_cutoff(narrow, group, test_size, cols.day, large), "search")
     train = split.filter(F.col(cols.day) < F.col("cutoff")).drop("cutoff")
     tie = cols.entity if group != cols.entity else cols.day
-    blocks = splits.ts_cv_blocks(splits.ordered_index(train, group, cols.day, tie), n_splits)
-    blocks = materialize(blocks, "blocks")
+    blocks = splits.ts_cv_blocks(splits.ordered_index(train, group, cols.day, tie, large=large), n_splits)
+    blocks = materialize(blocks.select(group, "block", *names, *targets), "blocks")
     grid = elastic_net.net_grid(penalties, ratios)
-    choices, models = elastic_net.net_search(blocks, group, names, matrix.target_names(horizon), grid, n_splits)
+    choices, models = elastic_net.net_search(blocks, group, names, targets, grid, n_splits)
     models = materialize(models, "models")
     test = split.filter(F.col(cols.day) >= F.col("cutoff"))
     long = metrics.horizon_metrics(linear.predict_group_linear(test, models, group, names, horizon), group, horizon)
