@@ -4,11 +4,13 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tidepanel import session
 from tidepanel.columns import PanelCols
 from tidepanel.functions.quantiles import exact_quantiles
 from tidepanel.models import elastic_net, linear, tuning
-from tidepanel.operators import features, metrics, splits
+from tidepanel.operators import features, metrics, panel, splits
 from tidepanel.plans import workflows
+from tidepanel.session import dealt_out, materialize, tasks_for
 
 C = PanelCols("e", "d", "v", "l")
 
@@ -219,3 +221,31 @@ def test_nets_of_many_groups_equal_each_alone():
     together = elastic_net.net_paths(np.array(each), 3, 2, grid)
     for m, found in zip(each, together):
         assert np.allclose(found, elastic_net.net_path(m.ravel(), 3, 2, grid), atol=1e-9)
+
+
+def test_stored_rows_are_dealt_out_by_number(spark):
+    stored = materialize(spark.range(2000).select(F.lit(1.0).alias("x"), F.col("id").alias("k")).coalesce(1), "narrow")
+    assert stored.rdd.getNumPartitions() == 1
+    dealt = dealt_out(stored, 150)
+    sizes = dealt.groupBy(F.spark_partition_id()).count().collect()
+    assert dealt.rdd.getNumPartitions() == 14 and max(r["count"] for r in sizes) < 300
+    assert dealt.agg(F.sum("k")).first()[0] == 1999 * 1000
+    assert dealt_out(stored, 2000) is stored
+
+
+def test_folds_and_checks_have_tasks_for_their_rows(spark, monkeypatch, capsys):
+    monkeypatch.setattr(session, "tasks_for", lambda s, rows, most=0: 23)
+    for module in (tuning, panel):
+        monkeypatch.setattr(module, "tasks_for", session.tasks_for)
+    facts = spark.createDataFrame([(1, "a", 2.0), (1, "a", 2.0), (None, "b", 3.0)], "e int, d string, v double")
+    report = panel.quality_report(facts, facts, "v", C)
+    report.explain()
+    assert "23" in capsys.readouterr().out
+    got = {r["check"]: r["value"] for r in report.collect()}
+    assert (got["panel_rows"], got["panel_entities"], got["panel_duplicate_keys"], got["panel_min_value"]) == ("3", "1", "1", "2")
+
+
+def test_tasks_grow_with_rows(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert tasks_for(spark, 0) == cores
+    assert tasks_for(spark, 1_000 * cores, 10) == 100 * cores
