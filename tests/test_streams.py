@@ -97,3 +97,16 @@ def test_shifts_after_each_day_equal_the_window_functions(spark, tmp_path):
     serving.run_serving(spark, src, out, ck, SCHEMA, (1, 2), (3,), None, C)
     assert as_set(serving.late_points(spark, out, "bigint", (1, 2), (3,), C), "e", "d", "v") == {(1, late[0][1], 99.0)}
     assert [(r["v"], r["n"]) for r in spark.read.parquet(out).filter("e = 9").collect()] == [(3.0, 1)]
+
+
+def test_repeated_days_and_late_days_of_one_batch(spark, tmp_path):
+    src, out, ck = (str(tmp_path / x) for x in ("src", "out", "ck"))
+    spark.createDataFrame(rows(1, 0, 4, 2, "x"), SCHEMA).write.mode("append").parquet(src)
+    serving.run_serving(spark, src, out, ck, SCHEMA, (1,), (2,), None, C)
+    # Days 5 and 6 in no order, day 5 twice; day 3 is late.
+    again = [*rows(1, 6, 6, 7, "x"), *rows(1, 3, 3, 9, "x"), *rows(1, 5, 5, 1, "x"), *rows(1, 5, 5, 4, "y")]
+    spark.createDataFrame(again, SCHEMA).coalesce(1).write.mode("append").parquet(src)
+    serving.run_serving(spark, src, out, ck, SCHEMA, (1,), (2,), None, C)
+    got = {((r["d"] - DAY0).days, r["v"], r["n"], r["late"], r["lag_1"], r["roll_2"]) for r in spark.read.parquet(out).collect()}
+    first = {(k, 2.0, k + 1, False, None if k < 3 else 2.0, None if k < 3 else 2.0) for k in range(5)}
+    assert got == first | {(3, 9.0, None, True, None, None), (5, 5.0, 6, False, 2.0, 2.0), (6, 7.0, 7, False, 5.0, 3.5)}

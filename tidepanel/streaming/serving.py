@@ -37,31 +37,44 @@ def shifts_stream(panel: DataFrame, lags=config.LAGS, rolls=config.ROLLS, cols:
     warm_up = max(lags, default=0) + max(rolls, default=0)
     id_type = panel.schema[cols.entity].dataType.simpleString()
     entity, day, value, names = cols.entity, cols.day, cols.value, shift_names(lags, rolls)
+    id_dtype = "int64" if id_type in ("tinyint", "smallint", "int", "bigint") else object
+
+    def by_day(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        """Days in order as `datetime64[D]`, and the sums of their values, of (days, values) in any order."""
+        days = np.concatenate([d for d, _ in parts]).astype("datetime64[D]")
+        values = np.concatenate([v for _, v in parts]).astype(float)
+        order = np.argsort(days, kind="stable")
+        days, values = days[order], values[order]
+        if (days[1:] == days[:-1]).any():
+            sums = pd.Series(values).groupby(days, sort=True).sum()
+            return sums.index.to_numpy().astype("datetime64[D]"), sums.to_numpy()
+        return days, values
 
     def shift(key: tuple, parts: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         before, seen, last = state.get if state.exists else ([], 0, None)
-        rows = pd.concat([p[[day, value]] for p in parts]).groupby(day, sort=True)[value].sum()
-        late = np.array([last is not None and d <= last for d in rows.index], bool)
-        fresh = rows[~late]
-        out = pd.DataFrame({day: rows.index, value: rows.to_numpy(), "n": pd.array([None] * len(rows), "Int64"), "late": late})
-        for name in names:
-            out[name] = np.nan
+        days, values = by_day([(p[day].to_numpy(), p[value].to_numpy()) for p in parts])
+        # The days are in order, so the late ones come first.
+        n_late = int(np.searchsorted(days, np.datetime64(last), "right")) if last is not None else 0
+        fresh = values[n_late:]
+        late = np.arange(len(days)) < n_late
+        number = seen + 1 + np.arange(-n_late, len(fresh))
+        columns = {name: np.full(len(days), np.nan) for name in names}
         if len(fresh):
-            series = np.concatenate([np.asarray(before, float), fresh.to_numpy(float)])
-            place = len(before) + np.arange(len(fresh))  # of the new rows in the series
-            number = seen + 1 + np.arange(len(fresh))
-            full = number > warm_up  # then all shifts lie inside the series
-            columns = {f"lag_{k}": series[place[full] - k] for k in lags}
+            series = np.concatenate([np.asarray(before, float), fresh])
+            full = ~late & (number > warm_up)  # then all shifts lie inside the series
+            place = len(before) + np.flatnonzero(full) - n_late  # of the new rows in the series
+            for k in lags:
+                columns[f"lag_{k}"][full] = series[place - k]
             for w in rolls:
                 sums = np.lib.stride_tricks.sliding_window_view(series, w).sum(axis=1) if len(series) >= w else np.empty(0)
-                columns[f"roll_{w}"] = sums[place[full] - w] / w
-            at = np.flatnonzero(~late)
-            out.loc[at, "n"] = number
-            for name, new in columns.items():
-                out.loc[at[full], name] = new
-            state.update((series[-kept:].tolist(), seen + len(fresh), fresh.index[-1]))
-        out.insert(0, entity, key[0])
-        yield out
+                columns[f"roll_{w}"][full] = sums[place - w] / w
+            state.update((series[-kept:].tolist(), seen + len(fresh), days[-1].item()))
+        yield pd.DataFrame(
+            {
+                entity: pd.Series([key[0]] * len(days), dtype=id_dtype), day: days.astype(object), value: values,
+                "n": pd.arrays.IntegerArray(number, late) if n_late else number, "late": late, **columns,
+            }
+        )
 
     rows = panel.select(entity, day, F.col(value).cast("double").alias(value)).dropna()
     return rows.groupBy(entity).applyInPandasWithState(
