@@ -62,3 +62,16 @@ def test_keep_and_rename_ignore_absent_columns(spark):
     df = spark.createDataFrame([(1, "a")], "lda bigint, NB_VALD string")
     out = clean.keep_columns(clean.harmonise_columns(df))
     assert out.columns == ["ID_LIEU", "NB_VALD"]
+
+
+def test_only_formats_that_may_fit_are_tried(spark):
+    days = ["1997-05-03", "1997/5/3", "19970503", "1997-5-3 1:2:3", "1997-05-03T01:02:03", "5/3/1997", "12/25/1997", "5-3-1997",
+            "12-25-1997", "5.3.1997", "5/3/1997 1:2", "5/3/1997 1:2:3", "0005/3/1997", "97-5-3", "5/3/97", "1997", "x"]
+    pairs = [f for f in text.DAY_FORMATS]
+    df = spark.createDataFrame([(d,) for d in days], "t string")
+    for f in pairs:
+        read = F.try_to_date("t", f).isNotNull()
+        assert df.filter(read & ~text._may_fit(F.col("t"), f)).count() == 0
+    tried = {r["t"]: r["n"] for r in df.select("t", sum(text._may_fit(F.col("t"), f).cast("int") for f in pairs).alias("n")).collect()}
+    # Of twelve formats; a day-first text no longer fails at the year-first ones.
+    assert tried["5/3/1997"] == 2 and tried["x"] == 0 and max(tried.values()) <= 6

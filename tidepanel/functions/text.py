@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, functions as F
@@ -27,16 +28,25 @@ def blank_to_null(text: Column) -> Column:
     return F.nullif(F.trim(text), F.lit(""))
 
 
+def _may_fit(text: Column, day_format: str) -> Column:
+    """False only where `day_format` can't read the text: it lacks a separator, or four digits where the year is first."""
+    tests = [text.contains(c) for c in "-/.:" if c in day_format]
+    if day_format.startswith("yyyy"):
+        tests.append(text.rlike(r"^[+-]?[0-9]{4}"))
+    return reduce(Column.__and__, tests)
+
+
 def parse_day(text: Column, formats=DAY_FORMATS, strict: bool = True) -> Column:
-    """Day of a text in any of `formats`; unreadable text is an error if strict."""
+    """Day of a text in any of `formats`; unreadable text is an error if strict.
+
+    A format that fails costs an exception for every row, so only those that may fit are tried.
+    """
     clean = blank_to_null(text)
-    parsed = F.coalesce(*[F.try_to_date(clean, f) for f in formats])
-    if not strict:
-        return parsed
-    return F.when(
-        clean.isNotNull() & parsed.isNull(),
-        F.raise_error(F.concat(F.lit("unreadable day: "), clean)).cast("date"),
-    ).otherwise(parsed)
+    parsed = [F.when(_may_fit(clean, f), F.try_to_date(clean, f)) for f in formats]
+    if strict:
+        unreadable = F.raise_error(F.concat(F.lit("unreadable day: "), clean)).cast("date")
+        parsed.append(F.when(clean.isNotNull(), unreadable))
+    return F.coalesce(*parsed)
 
 
 def parse_number(text: Column) -> Column:
