@@ -673,6 +673,35 @@ def test_memos_are_bounded_by_bytes():
             assert all(len(k) <= pretokens.LONGEST_KEPT for k in part)
 
 
+def test_memos_of_token_files_leave_room_beside_the_heap(monkeypatch):
+    from tidepanel.llm import queries
+
+    asked = {}
+    monkeypatch.setattr(queries, "table", lambda *_: None)
+    monkeypatch.setattr(queries, "scratch_path", lambda *_: "")
+    monkeypatch.setattr(token_files, "write_token_files", lambda *_, **options: asked.update(options))
+    monkeypatch.setattr(token_files, "read_token_digests", lambda *_: None)
+    queries.op2_token_files(None, "")
+    # Two workers an executor, each with two generations of words and of pre-tokens (a quarter).
+    assert 2 * 2.5 * asked["memo_bytes"] <= 600 << 20
+
+
+def test_simple8b_words_are_the_densest():
+    values = np.concatenate([np.zeros(300), np.arange(1, 5000), np.full(130, 1 << 20), [1 << 40], np.ones(70)]).astype(np.uint64)
+    words, offsets, escaped = simple8b.encode(values)
+    at, found = 0, []
+    while at < len(values):
+        end = min(len(values), (at // simple8b.BLOCK + 1) * simple8b.BLOCK)
+        fits = [
+            s for s in range(simple8b.ESCAPE)
+            if all(int(v).bit_length() <= simple8b.WIDTHS[s] for v in values[at : min(end, at + simple8b.COUNTS[s])])
+        ]
+        s = fits[0] if fits and int(values[at]).bit_length() <= 30 else simple8b.ESCAPE
+        found.append(s)
+        at = min(end, at + int(simple8b.COUNTS[s]))
+    assert (words >> np.uint64(60)).tolist() == found and escaped.tolist() == [1 << 40]
+
+
 def test_scored_positions_see_half_a_window():
     import inspect
 

@@ -8,6 +8,8 @@ more than 30 bits are escapes: their word holds an index into a list of whole
 
 from __future__ import annotations
 
+from array import array
+
 import numpy as np
 
 BLOCK = 4096
@@ -18,8 +20,14 @@ WIDTHS = np.array([0, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60], np.int
 ESCAPE = 15
 
 
+#: Bits of the values of up to 16 bits.
+SHORT_BITS = np.frexp(np.arange(1 << 16, dtype=np.float64))[1].astype(np.int8)
+
+
 def _bit_lengths(values: np.ndarray) -> np.ndarray:
     """Bits of each value; anything over 30 counts as 31."""
+    if values.max(initial=0) < len(SHORT_BITS):
+        return SHORT_BITS[values.astype(np.uint16)]
     small = np.minimum(values, np.uint64(1 << 30)).astype(np.float64)
     return np.frexp(small)[1].astype(np.int8)
 
@@ -43,11 +51,14 @@ def _selectors(values: np.ndarray) -> np.ndarray:
     for s in range(ESCAPE - 1, -1, -1):
         while window < COUNTS[s]:
             more = min(window, int(COUNTS[s]) - window)
-            ahead = np.zeros_like(widest)
-            ahead[:, :-more] = widest[:, more:]
-            widest = np.maximum(widest, ahead)
+            # Beyond the end lie zeros, so the last columns stay.
+            widest = np.concatenate([np.maximum(widest[:, :-more], widest[:, more:]), widest[:, -more:]], axis=1)
             window += more
-        misfits += widest[:, :BLOCK] > WIDTHS[s]
+        wide = widest[:, :BLOCK] > WIDTHS[s]
+        if wide.all():
+            misfits += s + 1  # neither fits any denser one
+            break
+        misfits += wide.view(np.int8)
     return np.minimum(misfits, ESCAPE).reshape(-1)[:n]
 
 
@@ -58,13 +69,14 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     if not n:
         return np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, np.uint64)
     chosen = _selectors(values)
-    at = np.arange(n)
-    step = memoryview(np.minimum(at + COUNTS[chosen], np.minimum((at // BLOCK + 1) * BLOCK, n)))
-    starts, i = [], 0
+    at = np.arange(n, dtype=np.int32)
+    ends = np.minimum((at | (BLOCK - 1)) + 1, n)
+    step = memoryview(np.minimum(at + COUNTS.astype(np.int32)[chosen], ends))
+    starts, i = array("q"), 0
     while i < n:
         starts.append(i)
         i = step[i]
-    first = np.array(starts, np.int64)
+    first = np.frombuffer(starts, np.int64)
     selector = chosen[first]
     escapes = first[selector == ESCAPE]
     escaped = values[escapes]
@@ -72,8 +84,9 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         values = values.copy()
         values[escapes] = np.arange(len(escapes), dtype=np.uint64)
     held = np.diff(np.append(first, n))
-    shift = (at - np.repeat(first, held)) * np.repeat(WIDTHS[selector], held)
-    words = np.bitwise_or.reduceat(values << shift.astype(np.uint64), first)
+    at -= np.repeat(first.astype(np.int32), held)
+    at *= np.repeat(WIDTHS[selector].astype(np.int32), held)
+    words = np.bitwise_or.reduceat(values << at.astype(np.uint64), first)
     words |= selector.astype(np.uint64) << np.uint64(60)
     offsets = np.searchsorted(first, np.arange(0, n, BLOCK)).astype(np.uint32)
     return words, offsets, escaped
