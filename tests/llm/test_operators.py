@@ -557,6 +557,76 @@ def test_attention_scores_equal_position_by_position():
         assert abs(got[i] - want) < 1e-4
 
 
+def test_every_training_text_moves_the_model(spark, monkeypatch):
+    """However small the sample is that the fit begins with."""
+    from tidepanel.llm import attention
+
+    begun, walked = [], lm.walked
+    monkeypatch.setattr(lm, "walked", lambda model, *more: begun.append(model) or walked(model, *more))
+    monkeypatch.setattr(lm, "SAMPLE_CHARS", 100)
+    monkeypatch.setattr(lm, "POSITIONS", 200)
+    words = "river zebra drinks bends stone lantern marble copper thunder velvet".split()
+    rows = [(i, " ".join([words[i % 10], str(i), words[i % 7]] * (1 + i % 30))) for i in range(200)] + [(None, None), (700, "")]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    model = lm.fit_lm(table, LIBRARY, PATTERN, steps=3).model
+    moved = np.zeros(len(model.query), bool)
+    for name in attention.BY_TOKEN:
+        moved |= (getattr(model, name) != getattr(begun[0], name)).any(axis=1)
+    seen = {lm.END}
+    for i, t in rows:
+        if zlib.crc32(str("" if i is None else i).encode()) % 7 != 2:
+            seen.update(lm.ids_of(lm.words_of(t or ""), LIBRARY, PATTERN).tolist())
+    assert set(np.flatnonzero(moved).tolist()) == seen
+    assert all((getattr(model, n) != getattr(begun[0], n)).any() for n in attention.SHARED)
+    assert np.allclose(model.outputs.sum(axis=0), 1, atol=1e-3)
+
+
+def test_walks_learn_and_their_mean_is_weighed_by_what_they_saw():
+    from tidepanel.llm import attention
+
+    rng = np.random.default_rng(2)
+    start = attention.initial(9, 8, 4, 3, np.ones(9))
+    walks = []
+    for n in (40, 10):
+        text = np.tile(np.array([3, 4, 5, 6, 7]), n)[: n * 4]
+        ids, targets = text[:-4].reshape(-1, 4), text[1:-3].reshape(-1, 4)
+        ids, targets = (x[: len(x) // 2 * 2].reshape(-1, 8) for x in (ids, targets))
+        known, evidence = np.full(ids.shape, 1 / 9, np.float32), rng.random((*ids.shape, 2)).astype(np.float32)
+        walk = attention.Pass(start, rate=0.05)
+        losses = [walk.step(ids, targets, known, evidence) for _ in range(30)]
+        assert losses[-1] < losses[0]
+        assert walk.n == 30 * targets.size and abs(walk.seen.sum() - walk.n) < 1e-6
+        walks.append(walk)
+    sums = [sum(getattr(w, f)() for w in walks) for f in ("token_sums", "shared_sums")]
+    mean = attention.merged(start, *sums, np.full(9, 1 / 9))
+    for token in range(9):
+        weights = np.array([w.seen[token] for w in walks])
+        want = sum(w.seen[token] * w.model.gate[token] for w in walks) / weights.sum() if weights.sum() else start.gate[token]
+        assert np.allclose(mean.gate[token], want, atol=1e-5)
+    assert np.allclose(mean.mix, sum(w.n * w.model.mix for w in walks) / sum(w.n for w in walks), atol=1e-5)
+    assert np.allclose(mean.outputs, attention.outputs_from(sum(w.expected for w in walks), np.full(9, 1 / 9)), atol=1e-6)
+    assert (start.gate == attention.initial(9, 8, 4, 3, np.ones(9)).gate).all()
+
+
+def test_windows_hold_every_position_once():
+    texts = [np.arange(1, 6), np.zeros(0, np.int64), np.arange(1, 9)]
+    before, inputs, targets, weighed = lm.windows_of(texts, 4)
+    flat = lm.positions(texts)
+    assert inputs.shape == (2 + 1 + 3, 4)
+    for found, want in zip((before, inputs, targets), flat):
+        assert found[weighed >= 0].tolist() == want.tolist()
+    assert weighed[weighed >= 0].tolist() == flat[2].tolist() and (inputs[weighed < 0] == lm.END).all()
+
+
+def test_texts_that_begin_with_a_space_use_the_memo_of_words():
+    encoder = library_encoder(LIBRARY, PATTERN)
+    encoder._words.clear()
+    whole = Tokenizer.from_file(LIBRARY)
+    for text in (" quilted river", " ", "  two", " a  b", " x\u00a0y z", " \u00a0y z", " <|endoftext|> a", " don't go."):
+        assert encoder.encode(text) == id_bytes(whole.encode(text, add_special_tokens=False).ids), repr(text)
+    assert "quilted" in encoder._words
+
+
 def test_runs_of_ids_by_brute_force_and_their_distributions_sum_to_one(spark):
     from tidepanel.llm import counts
 
