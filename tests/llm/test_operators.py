@@ -116,6 +116,39 @@ def test_backtracking_equals_merges_on_small_vocabularies():
             assert pairs.encode(data) == want
 
 
+def test_byte_pairs_try_few_merges_and_keep_words():
+    """A word that comes again is not encoded again among 200,000 others, and the merges count each pair once."""
+    encoder = byte_bpe.rank_encoder(RANKS, PATTERN)
+    made = []
+    encode = encoder._words.make
+    encoder._words.make = lambda word: made.append(word) or encode(word)
+    try:
+        text = " ".join(f"w{i:x}q" for i in range(200_000))
+        encoder.encode(text)
+        made.clear()
+        encoder.encode(text)
+        assert not made
+    finally:
+        encoder._words.make = encode
+
+    class Asked(dict):
+        def get(self, *args):
+            asked.append(args[0])
+            return super().get(*args)
+
+    asked = []
+    ranks = Asked(byte_bpe.read_ranks(RANKS))
+    data = b"international"
+    parts = byte_bpe.merge_by_rank(data, ranks)
+    assert b"".join(byte_bpe.pairs_of(RANKS).entries[i] for i in parts) == data
+    assert len(asked) <= 3 * len(data)
+
+
+def test_byte_pairs_of_single_bytes_alone():
+    ranks = {bytes([b]): 255 - b for b in range(256)}
+    assert byte_bpe.BytePairs(ranks).encode(b"ab") == [255 - 97, 255 - 98]
+
+
 # Token files
 
 

@@ -35,11 +35,17 @@ def read_ranks(path: str) -> dict[bytes, int]:
 def merge_by_rank(data: bytes, ranks: dict[bytes, int]) -> list[int]:
     """The merges as defined: join the adjacent pair of least rank, leftmost first."""
     parts = [data[i : i + 1] for i in range(len(data))]
-    while len(parts) > 1:
-        rank, at = min((ranks.get(a + b, len(ranks)), i) for i, (a, b) in enumerate(zip(parts, parts[1:])))
-        if rank == len(ranks):
-            break
-        parts[at : at + 2] = [parts[at] + parts[at + 1]]
+    get, none = ranks.get, len(ranks)
+    pairs = [get(a + b, none) for a, b in zip(parts, parts[1:])]
+    while pairs and (rank := min(pairs)) != none:
+        at = pairs.index(rank)
+        joined = parts[at] + parts[at + 1]
+        parts[at : at + 2] = [joined]
+        del pairs[at]
+        if at:
+            pairs[at - 1] = get(parts[at - 1] + joined, none)
+        if at < len(pairs):
+            pairs[at] = get(joined + parts[at + 1], none)
     return [ranks[p] for p in parts]
 
 
@@ -51,33 +57,48 @@ class BytePairs:
             raise ValueError(f"single bytes without a rank: {missing[:5]}")
         self.ranks = ranks
         self.entries = {rank: entry for entry, rank in ranks.items()}
+        self.sizes = {rank: len(entry) for entry, rank in ranks.items()}
         self.automaton = ahocorasick.Automaton()
         for entry, rank in ranks.items():
-            self.automaton.add_word(entry.decode("latin-1"), (len(entry), rank))
-        self.automaton.make_automaton()
-        self._pairs: dict[tuple[int, int], bool] = {}
-        self._shorter: dict[int, int] = {}
+            if len(entry) > 1:
+                self.automaton.add_word(entry.decode("latin-1"), (len(entry), rank))
+        if len(self.automaton):
+            self.automaton.make_automaton()
+        self._single = [ranks[bytes([b])] for b in range(256)]
+        # By `left * _span + right`, one number; `_begin` stands left of a pre-token's first entry.
+        self._pairs: dict[int, bool] = {}
+        self._begin = max(ranks.values()) + 1
+        self._span = self._begin + 1
+        self._shorter = {rank: self._prefix(entry) for entry, rank in ranks.items()}
         self._pair_room = pair_room
 
+    def _prefix(self, entry: bytes) -> int:
+        return next((self.ranks[entry[:n]] for n in range(len(entry) - 1, 0, -1) if entry[:n] in self.ranks), -1)
+
     def fits(self, left: int, right: int) -> bool:
         """Do the merges of the two entries' bytes give just these two?"""
-        known = self._pairs.get((left, right))
+        known = self._pairs.get(left * self._span + right)
         if known is None:
-            if len(self._pairs) >= self._pair_room:
-                self._pairs.clear()
-            joined = self.entries[left] + self.entries[right]
-            known = merge_by_rank(joined, self.ranks) == [left, right]
-            self._pairs[left, right] = known
+            known = merge_by_rank(self.entries[left] + self.entries[right], self.ranks) == [left, right]
+            self._keep(left, right, known)
         return known
 
+    def alone(self, token: int) -> bool:
+        """Do the merges of the entry's own bytes give it back?"""
+        known = self._pairs.get(self._begin * self._span + token)
+        if known is None:
+            known = merge_by_rank(self.entries[token], self.ranks) == [token]
+            self._keep(self._begin, token, known)
+        return known
+
+    def _keep(self, left: int, right: int, known: bool) -> None:
+        if len(self._pairs) >= self._pair_room:
+            self._pairs.clear()
+        self._pairs[left * self._span + right] = known
+
     def shorter(self, token: int) -> int:
         """The longest entry that is a proper prefix of `token`'s bytes; -1 for single bytes."""
-        found = self._shorter.get(token)
-        if found is None:
-            entry = self.entries[token]
-            found = next((self.ranks[entry[:n]] for n in range(len(entry) - 1, 0, -1) if entry[:n] in self.ranks), -1)
-            self._shorter[token] = found
-        return found
+        return self._shorter[token]
 
     def encode(self, data: bytes) -> list[int]:
         """Ids of one pre-token's bytes."""
@@ -86,45 +107,46 @@ class BytePairs:
         whole = self.ranks.get(data)
         if whole is not None:
             return [whole]
-        longest = [0] * len(data)
-        size = [0] * len(data)
-        for end, (n, rank) in self.automaton.iter(data.decode("latin-1")):
-            start = end + 1 - n
-            if n > size[start]:
-                size[start], longest[start] = n, rank
-        dead = bytearray(len(data) + 1)
+        total = len(data)
+        longest = list(map(self._single.__getitem__, data))
+        for end, (n, rank) in self.automaton.iter(data.decode("latin-1")) if len(self.automaton) else ():
+            longest[end + 1 - n] = rank  # ends ascend, so the last is the longest
+        known_pairs, sizes, shorter, span, begin = self._pairs, self.sizes, self._shorter, self._span, self._begin
+        dead = bytearray(total + 1)
         chosen: list[int] = []
-        at, token = 0, longest[0]
-        while at < len(data):
+        at, token, left = 0, longest[0], begin
+        while at < total:
             while token >= 0:
-                stop = at + len(self.entries[token])
-                if not dead[stop] and (self.fits(chosen[-1], token) if chosen else self.alone(token)):
-                    break
-                token = self.shorter(token)
+                stop = at + sizes[token]
+                if not dead[stop]:
+                    fits = known_pairs.get(left * span + token)
+                    if fits is None:
+                        fits = self.alone(token) if left == begin else self.fits(left, token)
+                    if fits:
+                        break
+                token = shorter[token]
             if token >= 0:
                 chosen.append(token)
-                at = stop
-                token = longest[at] if at < len(data) else 0
+                at, left = stop, token
+                token = longest[at] if at < total else 0
             else:
                 dead[at] = 1
                 if not chosen:
                     raise ValueError("no encoding: the ranks are not those of merges")
                 token = chosen.pop()
-                at -= len(self.entries[token])
-                token = self.shorter(token)
+                at -= sizes[token]
+                left = chosen[-1] if chosen else begin
+                token = shorter[token]
         return chosen
 
-    def alone(self, token: int) -> bool:
-        """Do the merges of the entry's own bytes give it back?"""
-        known = self._pairs.get((token, -1))
-        if known is None:
-            known = self._pairs[token, -1] = merge_by_rank(self.entries[token], self.ranks) == [token]
-        return known
-
     def decode(self, ids) -> bytes:
         return b"".join(map(self.entries.__getitem__, ids))
 
 
+#: Bytes of a generation of the larger memo of a worker that encodes by ranks.
+RANK_MEMO = 96 << 20
+
+
 @lru_cache(maxsize=2)
 def pairs_of(path: str) -> BytePairs:
     return BytePairs(read_ranks(path))
@@ -134,7 +156,8 @@ def pairs_of(path: str) -> BytePairs:
 def rank_encoder(path: str, pattern: str) -> MemoEncoder:
     pairs = pairs_of(path)
     return MemoEncoder(
-        lambda pretoken: id_bytes(pairs.encode(pretoken.encode("utf-8"))), regex.compile(pattern).findall
+        lambda pretoken: id_bytes(pairs.encode(pretoken.encode("utf-8"))), regex.compile(pattern).findall,
+        room=RANK_MEMO // 4, word_room=RANK_MEMO,
     )
 
 
