@@ -130,3 +130,26 @@ def test_stored_model_forecasts_like_the_fitted_one(spark, sf_dir):
 def test_search_returns_the_lowest_score(spark, sf_dir):
     row = entry.queries()["random_search"](spark, sf_dir).first()
     assert row["score"] > 0 and row["best_fold"] <= row["score"] <= row["worst_fold"]
+
+
+def test_bundle_sums_the_facts_once(spark, tmp_path, monkeypatch):
+    """Matrix, levels, profiles and the weather's medians share one panel."""
+    from queries import spark_queries as q
+
+    n = F.col("id")
+    facts = spark.range(3 * 2 * 1600).select(
+        (n % 3).alias("l_suppkey"), F.date_add(F.lit("1995-01-01").cast("date"), (n / 6).cast("int")).alias("l_shipdate"),
+        F.lit("A").alias("l_returnflag"), (n % 13 + 5).cast("double").alias("l_quantity"),
+    )
+    facts.write.parquet(f"{tmp_path}/lineitem.parquet")
+    orders = facts.select(F.col("l_shipdate").alias("o_orderdate"), (F.col("l_quantity") * 31.5).alias("o_totalprice"))
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    asked, trained = [], []
+    own = q.i.panel
+    monkeypatch.setattr(q.i, "panel", lambda *a: asked.append(a) or own(*a))
+    monkeypatch.setattr(q.pooled, "train_pooled", lambda *a, **k: trained.append(a))
+    rows, _ = q._bundle(spark, str(tmp_path), horizon=1)
+    levels = trained[0][4]
+    assert len(asked) == 1
+    assert rows.select("entity", "lvl").distinct().count() == levels.count() == 3
+    assert rows.join(levels.withColumnRenamed("lvl", "own"), "entity").filter("abs(lvl - own) > 1e-9").count() == 0
