@@ -290,6 +290,14 @@ def test_near_components(spark, docs, none):
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted({str(w[2]) for w in want})
 
 
+def test_keys_of_fingerprints_are_not_broadcast(spark, tmp_path):
+    """Spark takes a table of all keys for one of a key per fingerprint, which looks small enough."""
+    spark.range(1000).selectExpr("xxhash64(id) fp").write.parquet(f"{tmp_path}/prints")
+    links = simhash.fingerprint_links(spark.read.parquet(f"{tmp_path}/prints"), 4)
+    plan = links._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 @pytest.mark.parametrize("keep", [exact_dedup.drop_copies, simhash.keep_one])
 def test_the_row_that_stays_does_not_depend_on_order(spark, keep):
     text = "one text of some words here"

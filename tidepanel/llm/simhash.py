@@ -108,6 +108,8 @@ def fingerprint_links(prints: DataFrame, distance: int, blocks: int = 7, tile: i
         "fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in masks])).alias("choice", "key")
     )
     shared = keyed.groupBy("choice", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    # Spark sizes both sides as if a fingerprint had one key, and would broadcast all keys of a table of some size.
+    shared = shared.hint("merge")
     tiles = F.ceil(F.col("n") / F.lit(tile)).cast("int")
     rows = (
         keyed.join(shared, ["choice", "key"])
