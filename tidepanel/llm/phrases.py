@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tidepanel.llm import double_array
-from tidepanel.llm.common import ship_package
+from tidepanel.llm.common import ship_package, small_batches
 from tidepanel.session import materialize
 
 #: Separators of pieces, all turned into the first of them.
@@ -39,6 +39,8 @@ TRIE_PHRASES = 250_000
 HELD = 500_000
 #: Positions of text that a task handles at once.
 POSITIONS = 1 << 20
+#: Texts, and blocks of so many positions, that the JVM and Python hold at once beside.
+TEXTS_AT_ONCE, BLOCKS_AT_ONCE = 500, 1
 
 # Kinds of rows that a walk gives.
 COUNTED, PROPOSED = 0, 1
@@ -279,7 +281,9 @@ def frequent_phrases(
     """(words array<long>, a) of all phrases of 2 to `longest` words with at least `min_count` occurrences."""
     spark = blocks.sparkSession
     shape = "words array<long>, a long"
-    proposed = propose_pairs(blocks).filter(F.col("n") >= min_count).select(F.array("parent", "word").alias("words"))
+    pairs = propose_pairs(blocks).filter(F.col("n") >= min_count)
+    with small_batches(spark, BLOCKS_AT_ONCE):
+        proposed = materialize(pairs.select(F.array("parent", "word").alias("words")), "pairs")
     found = spark.createDataFrame([], shape)
     for depth in range(2, longest + 1):
         candidates, parts = _parts(materialize(proposed, "candidates"), most, F.col("words"), "phrases")
@@ -292,7 +296,8 @@ def frequent_phrases(
             lists = pa.concat_arrays(lists.chunks) if isinstance(lists, pa.ChunkedArray) else lists
             trie, states = double_array.build(lists.values.to_numpy().reshape(-1, depth), words + 1)
             sent = spark.sparkContext.broadcast(trie)
-            rows = materialize(walk_trie(blocks, sent, depth, parts == 1, depth < longest), "walk")
+            with small_batches(spark, BLOCKS_AT_ONCE):
+                rows = materialize(walk_trie(blocks, sent, depth, parts == 1, depth < longest), "walk")
             accepting = spark.createDataFrame(pa.table({"parent": pa.array(states, pa.int64()), "words": lists}))
             accepting = materialize(accepting, "accepting")
             counts = rows.filter(F.col("kind") == COUNTED).select("parent", F.col("n").alias("a"))
@@ -350,10 +355,12 @@ def collocations(
     phrases counted, in several passes.
     """
     rows = _languages(documents, lang_col, text_col)
-    counts = materialize(word_counts(rows), "word-counts")
+    with small_batches(rows.sparkSession, TEXTS_AT_ONCE):
+        counts = materialize(word_counts(rows), "word-counts")
     tables, words, many = number_words(counts.filter(F.col("n") >= min_count), vocabulary)
-    blocks = encode(rows, tables).write.option("compression", "zstd")
-    blocks = materialize_with(rows.sparkSession, blocks, "numbered")
+    with small_batches(rows.sparkSession, TEXTS_AT_ONCE):
+        blocks = encode(rows, tables).write.option("compression", "zstd")
+        blocks = materialize_with(rows.sparkSession, blocks, "numbered")
     phrases = frequent_phrases(blocks, many, longest, min_count, trie_phrases)
     totals = counts.groupBy("lang").agg(F.sum("n").alias("n"))
     of_word = words.select(F.array("id").alias("words"), F.col("n").alias("count"), "lang")
