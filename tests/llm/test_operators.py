@@ -298,6 +298,30 @@ def test_keys_of_fingerprints_are_not_broadcast(spark, tmp_path):
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
 
 
+def test_batches_are_small_where_rows_are_large(spark):
+    from tidepanel.llm import common, phrases
+
+    sizes = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.parquet.columnarReaderBatchSize"
+    before = [spark.conf.get(n) for n in sizes]
+    with pytest.raises(RuntimeError), common.small_batches(spark, 3):
+        assert [spark.conf.get(n) for n in sizes] == ["3", "3"]
+        raise RuntimeError
+    assert [spark.conf.get(n) for n in sizes] == before
+    seen, write = [], phrases.materialize
+
+    def noted(df, name):
+        if name in ("pairs", "walk", "word-counts"):
+            seen.append((name, [int(spark.conf.get(n)) for n in sizes]))
+        return write(df, name)
+
+    table = spark.createDataFrame([("en", "the river bends here")] * 20, "lang string, text string")
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(phrases, "materialize", noted)
+        assert phrases.collocations(table, 10).count() > 0
+    assert {n for n, _ in seen} == {"pairs", "walk", "word-counts"} and all(max(x) <= 500 for _, x in seen)
+    assert all(x == [1, 1] for n, x in seen if n != "word-counts")
+
+
 @pytest.mark.parametrize("keep", [exact_dedup.drop_copies, simhash.keep_one])
 def test_the_row_that_stays_does_not_depend_on_order(spark, keep):
     text = "one text of some words here"
@@ -693,6 +717,38 @@ def test_runs_of_ids_by_brute_force_and_their_distributions_sum_to_one(spark):
                 assert (again >= 0).all() and (again <= 1.001).all()
 
 
+def test_every_run_of_ids_counts_however_rare(spark, monkeypatch):
+    """Each block has the counts of all its runs, and scores don't depend on how many reach the driver."""
+    words = "river zebra drinks bends stone lantern marble copper thunder velvet".split()
+    rows = [(i, " ".join(words[(i * k) % 10] for k in range(1, 4 + i % 40))) for i in range(120)] + [(None, None), (700, ""), (7, "zebra")]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(lm, "POSITIONS", 300)
+    monkeypatch.setattr(lm, "BLOCK_POSITIONS", 500)
+    texts = lm.coded_texts(table, LIBRARY, PATTERN).cache()
+    corpus = lm.blocks_of(texts, LIBRARY, lm.fold("doc_id", 7) != 2)
+    training = table.filter(lm.fold("doc_id", 7) != 2)
+    whole = lm.corpus_counts(training, LIBRARY, PATTERN, len(corpus.shares))
+    blocks = corpus.blocks.toArrow().to_batches()
+    seen = []
+    for block in lm._blocks(iter(blocks), LIBRARY):
+        some = lm.positions(block.texts)[:3]
+        for without in (0, 1):
+            got, want = (c.known(*some, without) for c in (block.counts(corpus.singles), whole))
+            assert np.allclose(got[0], want[0], rtol=1e-5) and np.allclose(got[1], want[1])
+        assert np.allclose(corpus.counts_of(*some).known(*some)[0], whole.known(*some)[0], rtol=1e-5)
+        seen.append(len(block.texts))
+    assert len(seen) > 2 and sum(seen) == len(rows)
+    assert np.allclose(corpus.shares, whole.shares)
+
+    def scores():
+        return sorted((str(r["doc_id"]), round(r["score"], 3)) for r in lm.score_texts(table, LIBRARY, PATTERN, steps=3).collect())
+
+    first = scores()
+    monkeypatch.setattr(lm, "PAIRS", 2)
+    monkeypatch.setattr(lm, "TRIPLES", 2)
+    assert scores() == first
+
+
 def test_words_are_spelt_from_their_ids():
     for text in [*ODD_TEXTS, LONG, "x<|endoftext|>y z", "\u3000 \u3000 a\x85 b", "x\u3000 \u3000y"]:
         words = lm.words_of(text)
