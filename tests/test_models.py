@@ -153,3 +153,42 @@ def test_bundle_sums_the_facts_once(spark, tmp_path, monkeypatch):
     assert len(asked) == 1
     assert rows.select("entity", "lvl").distinct().count() == levels.count() == 3
     assert rows.join(levels.withColumnRenamed("lvl", "own"), "entity").filter("abs(lvl - own) > 1e-9").count() == 0
+
+
+def test_evaluations_take_the_tuned_parameters(spark, sf_dir, monkeypatch):
+    """All 1,200 trees of depth 12 for each of seven horizons."""
+    from tidepanel import config
+
+    asked = []
+
+    class Seen(Exception):
+        pass
+
+    def noted(train, features, horizon, params, *more):
+        asked.append((horizon, params))
+        raise Seen
+
+    monkeypatch.setattr(pooled, "fit_horizons", noted)
+    for name in ("holdout_eval", "pooled_eval"):
+        with pytest.raises(Seen):
+            entry.queries()[name](spark, sf_dir)
+    assert asked == [(7, config.POOLED_PARAMS)] * 2
+    assert config.POOLED_PARAMS["n_estimators"] == 1200 and config.POOLED_PARAMS["max_depth"] == 12
+
+
+def test_a_bound_of_summed_errors_is_shared_among_the_rows():
+    assert pooled.tree_params({"gamma": 0.5}, 4, 1000)["minInfoGain"] == 0.001
+    assert pooled.tree_params({}, 4, 0)["minInfoGain"] == 0
+
+
+def test_fits_write_no_copy_of_the_matrix(spark, tmp_path, monkeypatch):
+    from tidepanel import session
+
+    spark.range(200).selectExpr("id % 7 a", "id % 3 b", "id % 7 + 1 target_j1", "2.0 lvl").write.parquet(f"{tmp_path}/rows")
+    written = []
+    monkeypatch.setattr(session, "scratch_path", lambda spark, name: written.append(name) or f"{tmp_path}/{name}")
+    rows = spark.read.parquet(f"{tmp_path}/rows")
+    models = pooled.fit_horizons(rows, ["a", "b"], 1, {"n_estimators": 1, "max_depth": 3, "gamma": 0.5}, 1)
+    assert not written and models[0].trees[0].numNodes > 5
+    scored = pooled.predict_horizons(rows, models, ["a", "b"])
+    assert scored.filter("abs(pred_j1 - target_j1) > 1e-6").count() == 0
